@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.bind import bind
 from tablegate.functions.kinds import UnsupportedTypeError, is_floating_point, is_integer, kind_of
 from tablegate.functions.widening import first_entry_map
 from tablegate.spec import DelimitedFormat
@@ -97,15 +98,16 @@ def _decode_list(present: Column, dtype: T.ArrayType, fmt: DelimitedFormat, leve
 def _decode_map(present: Column, dtype: T.MapType, fmt: DelimitedFormat, level: int) -> Column:
     key_separator = fmt.separator(level + 1)
 
-    def entry(item: Column) -> Column:
-        # the key ends at the first key separator; without one there is no value
-        parts = split_text(item, key_separator, 2)
+    def entry(parts: Column) -> Column:
         return F.struct(
             decode(F.get(parts, F.lit(0)), dtype.keyType, fmt, level + 2).alias("key"),
             decode(F.get(parts, F.lit(1)), dtype.valueType, fmt, level + 2).alias("value"),
         )
 
-    entries = F.transform(split_text(present, fmt.separator(level)), entry)
+    items = split_text(present, fmt.separator(level))
+    # the key ends at the first key separator; without one there is no value
+    pairs = F.transform(items, lambda item: split_text(item, key_separator, 2))
+    entries = F.transform(pairs, entry)
     empty = F.create_map().cast(dtype)
     return F.when(present == "", empty).otherwise(first_entry_map(entries))
 
@@ -113,12 +115,16 @@ def _decode_map(present: Column, dtype: T.MapType, fmt: DelimitedFormat, level:
 def _decode_struct(
     present: Column, dtype: T.StructType, fmt: DelimitedFormat, level: int
 ) -> Column:
+    def fields(parts: Column) -> Column:
+        return F.struct(
+            *(
+                decode(F.get(parts, F.lit(i)), field.dataType, fmt, level + 1).alias(field.name)
+                for i, field in enumerate(dtype.fields)
+            )
+        )
+
     parts = split_text(present, fmt.separator(level))
-    fields = [
-        decode(F.get(parts, F.lit(i)), field.dataType, fmt, level + 1).alias(field.name)
-        for i, field in enumerate(dtype.fields)
-    ]
-    return F.when(present.isNotNull(), F.struct(*fields))
+    return F.when(present.isNotNull(), bind(parts, fields))
 
 
 def undecodable(text: Column, dtype: T.DataType, fmt: DelimitedFormat, level: int = 1) -> Column:
@@ -134,24 +140,23 @@ def undecodable(text: Column, dtype: T.DataType, fmt: DelimitedFormat, level: in
     if kind == "MAP":
         key_separator = fmt.separator(level + 1)
 
-        def bad_entry(item: Column) -> Column:
-            parts = split_text(item, key_separator, 2)
-            return undecodable(parts[0], dtype.keyType, fmt, level + 2) | undecodable(
-                F.get(parts, F.lit(1)), dtype.valueType, fmt, level + 2
+        def bad_entry(parts: Column) -> Column:
+            return undecodable(F.get(parts, F.lit(0)), dtype.keyType, fmt, level + 2) | (
+                undecodable(F.get(parts, F.lit(1)), dtype.valueType, fmt, level + 2)
             )
 
-        found = F.exists(split_text(present, fmt.separator(level)), bad_entry)
-        return (present != "") & F.coalesce(found, F.lit(False))
+        items = split_text(present, fmt.separator(level))
+        pairs = F.transform(items, lambda item: split_text(item, key_separator, 2))
+        return (present != "") & F.coalesce(F.exists(pairs, bad_entry), F.lit(False))
     if kind == "STRUCT":
-        parts = split_text(present, fmt.separator(level))
-        flags = [
-            undecodable(F.get(parts, F.lit(i)), field.dataType, fmt, level + 1)
-            for i, field in enumerate(dtype.fields)
-        ]
-        bad = F.lit(False)
-        for flag in flags:
-            bad = bad | flag
-        return bad
+
+        def bad_field(parts: Column) -> Column:
+            bad = F.lit(False)
+            for i, field in enumerate(dtype.fields):
+                bad = bad | undecodable(F.get(parts, F.lit(i)), field.dataType, fmt, level + 1)
+            return bad
+
+        return bind(split_text(present, fmt.separator(level)), bad_field)
     has_text = present.isNotNull() & (present != "")
     return F.coalesce(has_text, F.lit(False)) & decode(text, dtype, fmt, level).isNull()
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.bind import bind
 from tablegate.functions.kinds import kind_or_type_name
 from tablegate.spec import quote_name
 
@@ -118,14 +119,19 @@ def first_entry_map(entries: Column) -> Column:
     ``map_from_entries`` alone fails on a repeated key. Arrays without a
     repeat, the usual case, take the direct branch.
     """
-    keyed = F.filter(entries, lambda e: e["key"].isNotNull())
-    keys = F.transform(keyed, lambda e: e["key"])
-    first_only = F.filter(
-        keyed, lambda e, i: F.array_position(keys, e["key"]) == (i + 1).cast("bigint")
+
+    def build(keyed: Column, keys: Column) -> Column:
+        first_only = F.filter(
+            keyed, lambda e, i: F.array_position(keys, e["key"]) == (i + 1).cast("bigint")
+        )
+        return F.when(
+            F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(keyed)
+        ).otherwise(F.map_from_entries(first_only))
+
+    return bind(
+        F.filter(entries, lambda e: e["key"].isNotNull()),
+        lambda keyed: bind(keyed["key"], lambda keys: build(keyed, keys)),
     )
-    return F.when(
-        F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_entries(keyed)
-    ).otherwise(F.map_from_entries(first_only))
 
 
 def upgrade_to(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -23,7 +23,7 @@ def limit_rows(df: DataFrame, count: int, one_task_rows: int = ONE_TASK_ROWS) ->
     """
     if count < 0:
         raise ValueError("a row limit is not negative")
-    if count <= one_task_rows:
+    if count <= max(one_task_rows, 0):
         return df.limit(count)
     # one row per partition: the number of tasks bounds what comes together here
     per_partition = df.groupBy(F.spark_partition_id().alias("part")).agg(

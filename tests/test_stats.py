@@ -1,0 +1,223 @@
+"""Statistics, estimates, units, text outputs and jobs."""
+
+from __future__ import annotations
+
+import math
+import sys
+from pathlib import Path
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablegate import (
+    TAB_SEPARATED, DelimitedFormat, ReadSpec, append_statistics, convert_size, file_stats,
+    input_benchmark, observe_success, partition_stats, read_metrics, read_table, selection_stats,
+    sweep, tail, tail_parse_only, write_delimited, write_lines,
+)
+from tablegate.functions.units import BIT_UNITS, BYTE_UNITS, to_megabytes
+from tablegate.operators.access import ColumnTypeError
+from tablegate.operators.stats import estimated_bytes, row_size, throughput_line
+
+parse = T._parse_datatype_string
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("stats") / "t")
+    rows = spark.range(100).select(
+        "id", F.repeat(F.lit("x"), (F.col("id") % 3).cast("int")).alias("s"),
+        F.when(F.col("id") < 70, "big").otherwise("small").alias("ds"),
+    )
+    rows.repartition(4).write.partitionBy("ds").parquet(path)
+    return ReadSpec(path=path, schema=parse("id bigint, s string"), partition_keys=("ds",))
+
+
+def test_partition_stats(spark, table):
+    found = {r.ds: r for r in partition_stats(spark, table).collect()}
+    for name, ids in (("big", range(70)), ("small", range(70, 100))):
+        files = list((Path(table.path) / f"ds={name}").glob("part-*"))
+        assert found[name].num_files == len(files)
+        assert found[name].num_rows == len(ids)
+        assert found[name].raw_size == sum(8 + i % 3 for i in ids)
+        assert found[name].total_size == sum(f.stat().st_size for f in files)
+    closed = {r.ds: r for r in file_stats(spark, table).collect()}
+    assert all(closed[k].total_size == found[k].total_size for k in found)
+    assert all(closed[k].num_files == found[k].num_files for k in found)
+
+
+def test_selection_stats(spark, table):
+    import dataclasses
+
+    some = dataclasses.replace(table, partition_filter="ds = 'small'", columns=("s",))
+    [row] = selection_stats(spark, some).collect()
+    assert row.num_rows == 30
+    assert row.raw_size == sum(i % 3 for i in range(70, 100))
+    assert row.raw_mb == row.raw_size / 1e6 and row.total_mb == row.total_size / 1e6
+    none = dataclasses.replace(table, partition_filter="ds = 'none'")
+    [row] = selection_stats(spark, none).collect()
+    assert (row.num_rows, row.raw_size, row.total_size, row.num_files) == (0, 0, 0, 0)
+
+
+def test_unpartitioned_stats(spark, tmp_path):
+    spark.range(10).write.parquet(str(tmp_path / "t"))
+    [row] = selection_stats(spark, ReadSpec(path=str(tmp_path / "t"))).collect()
+    assert (row.num_rows, row.raw_size) == (10, 80)
+
+
+def test_row_size(spark):
+    rows = spark.sql(
+        """SELECT true AS b, 1Y AS t, 1S AS h, 1 AS i, 1L AS l, cast(1 AS float) AS f, 1D AS d,
+                  'üx' AS s, array('a', null, 'bcd') AS a, array(1, null, 3) AS n,
+                  map('k', 1L) AS m, named_struct('x', 1, 'y', 'zz') AS st, cast(null AS int) AS z,
+                  cast(null AS string) AS zs, cast(null AS array<int>) AS za"""
+    )
+    assert rows.select(row_size(rows)).first()[0] == (
+        1 + 1 + 2 + 4 + 8 + 4 + 8 + 3 + 4 + 8 + (1 + 8) + (4 + 2)
+    )
+    assert rows.select(row_size(rows, ("l", "s"))).first()[0] == 11
+
+
+def test_estimate_and_throughput(spark):
+    frame = spark.createDataFrame([(25, 100, 4000)], "r bigint, n bigint, b bigint")
+    assert frame.select(estimated_bytes(F.col("r"), F.col("n"), F.col("b"))).first()[0] == 1000.0
+    line = throughput_line(spark, 100, 4, 2.0, 0.5).first()
+    assert tuple(line) == (100, 4, 2.0, 0.5, 200.0, 4.0)
+    assert throughput_line(spark, 1, 1, 1.0, 0.0).first().rows_per_sec is None
+
+
+def test_success_ratio(spark):
+    seen = Observation()
+    rows = observe_success(spark.range(10), seen, F.col("id") >= 3)
+    assert read_metrics(rows, seen) == {"attempts": 10, "successes": 7, "ok_ratio": 0.7}
+    seen = Observation()
+    none = observe_success(spark.range(0), seen, F.col("id") >= 3)
+    assert read_metrics(none, seen)["ok_ratio"] is None
+
+
+def test_units(spark):
+    one = spark.range(1).select(F.lit(1.0).alias("v"))
+
+    def converted(value, *args, **more):
+        return one.select(convert_size(F.lit(value), *args, **more)).first()[0]
+
+    assert converted(1, "KiB", "B") == 1024.0 and converted(1, "MB", "KB") == 1000.0
+    assert converted(3, "PiB", "TiB") == 3072.0 and converted(1, "B", "bit") == 8.0
+    assert converted(1, "B", "bit", word_size=9) == 9.0 and converted(16, "bit", "B") == 2.0
+    assert converted(1, "MiB", "Kibit") == 8192.0 and converted(1, "Gbit", "MB") == 125.0
+    for unit, factor in {**BYTE_UNITS}.items():
+        assert converted(2, unit, "B") == 2 * factor
+    for unit, factor in BIT_UNITS.items():
+        assert converted(2, unit, "bit") == 2 * factor
+    biggest = sys.float_info.max
+    assert converted(1e300, "PB", "B") == biggest and converted(-1e300, "PB", "B") == -biggest
+    assert converted(biggest, "B", "bit") == biggest
+    assert math.isnan(converted(float("nan"), "KB", "B"))
+    assert one.select(to_megabytes(F.lit(2_500_000))).first()[0] == 2.5
+    with pytest.raises(ValueError, match="unknown unit"):
+        convert_size("v", "B", "furlong")
+
+
+def test_tail(spark, table, tmp_path):
+    import dataclasses
+
+    lines = tail(spark, dataclasses.replace(table, partition_filter="ds = 'small'"))
+    assert sorted(r.line for r in lines.collect()) == sorted(
+        f"{i}\t{'x' * (i % 3)}" for i in range(70, 100)
+    )
+    assert tail(spark, table, limit=7).count() == 7
+    contract = parse("s string, id bigint")
+    assert tail(spark, table, 1, "|", contract).first().line.count("|") == 1
+    with pytest.raises(ColumnTypeError):
+        tail(spark, table, contract=parse("id int"))
+    write_lines(lines, str(tmp_path / "lines"))
+    assert spark.read.text(str(tmp_path / "lines")).count() == 30
+
+
+def test_timed_jobs(spark, table, tmp_path):
+    import dataclasses
+
+    stats = str(tmp_path / "stats")
+    line = tail_parse_only(spark, table, append_stats_to=stats).first()
+    size = sum(8 + i % 3 + (3 if i < 70 else 5) for i in range(100))
+    assert line.rows == 100 and line.mb == size / 1e6 and line.seconds > 0
+    assert line.mb_per_sec == line.mb / line.seconds and line.partitions >= 1
+    assert tail_parse_only(spark, table, limit=10).first().rows == 10
+    lines = sweep(spark, table, (1, 4), append_stats_to=stats)
+    assert [frame.first().rows for frame in lines] == [100, 100]
+    kept = spark.read.option("header", True).csv(stats)
+    assert kept.count() == 3 and kept.columns[0] == "rows"
+    append_statistics(kept, stats + "-copy")
+    edges = str(tmp_path / "edges")
+    spark.range(20).select("id", F.col("id").alias("other"), F.rand(1).alias("w")).write.parquet(edges)
+    assert input_benchmark(spark, ReadSpec(path=edges)).first().rows == 20
+    with pytest.raises(ColumnTypeError):
+        input_benchmark(spark, dataclasses.replace(table, columns=("id", "id", "s")))
+
+
+def test_unsafe_text_is_refused(spark, tmp_path):
+    for number, text in enumerate(["a\tb", "a\nb", "a\rb", "\\N"]):
+        frame = spark.createDataFrame([(1, text)], "i int, s string")
+        with pytest.raises(Exception, match="separator, a line break"):
+            write_delimited(frame, str(tmp_path / f"bad{number}"), TAB_SEPARATED)
+    comma = spark.createDataFrame([(1, "a,b", ["c"])], "i int, s string, l array<string>")
+    write_delimited(comma, str(tmp_path / "ok"), TAB_SEPARATED)
+    inner = spark.createDataFrame([(["a,b"],)], "l array<string>")
+    with pytest.raises(Exception, match="separator, a line break"):
+        write_delimited(inner, str(tmp_path / "bad-inner"), TAB_SEPARATED)
+
+
+safe = st.text(st.characters(min_codepoint=32, max_codepoint=0x24F, exclude_characters="\x7f"), max_size=6).filter(
+    lambda s: s != "\\N"
+)
+row = st.tuples(
+    st.none() | st.integers(-(2**63), 2**63 - 1),
+    st.none() | safe,
+    st.none() | st.booleans(),
+    st.none() | st.floats(allow_nan=False),
+    st.none() | st.lists(st.none() | st.integers(-(2**31), 2**31 - 1), min_size=0, max_size=4).filter(
+        lambda items: items != [None]
+    ),
+    st.none() | st.dictionaries(safe, st.none() | safe, max_size=3),
+)
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(row, min_size=1, max_size=60))
+def test_any_row_survives_the_text_round_trip(spark, tmp_path_factory, rows):
+    path = str(tmp_path_factory.mktemp("round") / "t")
+    schema = parse(
+        "a bigint, b string, c boolean, d double, e array<int>, f map<string,string>"
+    )
+    frame = spark.createDataFrame(rows, schema)
+    write_delimited(frame, path, DelimitedFormat())
+    spec = ReadSpec(path=path, format="delimited", schema=schema)
+    back = read_table(spark, spec)
+    assert sorted(map(repr, map(tuple, back.collect()))) == sorted(
+        map(repr, map(tuple, frame.collect()))
+    )
+
+
+def test_hot_partition_is_spread_over_files(spark, tmp_path):
+    """A key holding most rows is written by several tasks, none of it lost."""
+    rows = spark.range(200_000).select(
+        "id", F.sha2(F.col("id").cast("string"), 512).alias("s"),
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(-1).alias("ds"),
+    )
+    path = str(tmp_path / "t")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        write_delimited(rows, path, TAB_SEPARATED, partition_keys=("ds",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(list((tmp_path / "t" / "ds=-1").glob("part-*"))) > 1
+    spec = ReadSpec(
+        path=path, format="delimited", schema=parse("id bigint, s string"),
+        partition_keys=("ds",), delimited=TAB_SEPARATED,
+    )
+    counts = read_table(spark, spec).groupBy("ds").count()
+    assert {r.ds: r["count"] for r in counts.collect()}["-1"] == 180_000
