@@ -57,9 +57,9 @@ def encode(
 
 
 def _guarded(value: Column, fmt: DelimitedFormat, level: int) -> Column:
-    in_use = "".join(fmt.separators[:level]) + "\r\n"
-    # translate drops the characters in use: a shorter result means one was there
-    unsafe = (F.translate(value, in_use, "") != value) | (value == fmt.null_text)
+    unsafe = value == fmt.null_text
+    for character in (*fmt.separators[:level], "\r", "\n"):
+        unsafe = unsafe | value.contains(character)
     message = F.concat(F.lit("text holds a separator, a line break or the null text: "), value)
     return F.when(unsafe, F.raise_error(message).cast("string")).otherwise(value)
 

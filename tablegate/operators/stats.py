@@ -88,8 +88,8 @@ def partition_stats(
     any size over many groups; what then comes together is one row per file.
     A file without rows is not counted.
     """
-    schema = table_schema(spark, spec)
-    rows = choose_partitions(spark, open_table(spark, spec, schema), schema, spec.partition_filter)
+    schema, scan = open_table(spark, spec)
+    rows = choose_partitions(spark, scan, schema, spec.partition_filter)
     keys = [F.col(quote_name(key)).cast("string").alias(key) for key in schema.partition_keys]
     sized = rows.select(
         *(keys if by_partition else ()),

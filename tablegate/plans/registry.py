@@ -100,6 +100,6 @@ def events_by_day(spark: SparkSession, sf_dir: str) -> str:
     """
     path = scratch_folder(spark)
     events = given(spark, sf_dir, "events", "event_id", "user_id", "event_type", "value", "ts")
-    by_day = events.withColumn("ds", F.date_format("ts", "yyyy-MM-dd")).drop("ts")
+    by_day = events.withColumn("ds", F.col("ts").cast("date").cast("string")).drop("ts")
     by_day.hint("rebalance", "ds").write.partitionBy("ds").parquet(path)
     return path

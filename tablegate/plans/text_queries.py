@@ -257,3 +257,35 @@ def read_success(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(
         [(metrics["attempts"], metrics["successes"])], "attempts bigint, successes bigint"
     )
+
+
+@layout
+def customer_text_columns(spark: SparkSession, sf_dir: str) -> str:
+    """Path of ``customer`` as Parquet whose columns are all text, with null texts and bad digits."""
+    path = scratch_folder(spark)
+    key = F.col("c_custkey")
+    customers = given(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    customers.select(
+        key.cast("string").alias("c_custkey"),
+        F.when(key % 4 == 0, "\\N").otherwise(F.col("c_name")).alias("c_name"),
+        F.when(key % 3 == 0, "").when(key % 5 == 0, "5x")
+        .otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"),
+        F.col("c_acctbal").cast("string").alias("c_acctbal"),
+    ).write.parquet(path)
+    return path
+
+
+@query(
+    """SELECT CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_name END AS c_name, c_custkey,
+              CASE WHEN c_custkey % 3 = 0 OR c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END
+              AS c_nationkey FROM customer"""
+)
+def columnar_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns held as text decode by the same rules; unwanted ones are not read."""
+    spec = ReadSpec(
+        path=customer_text_columns(spark, sf_dir),
+        schema=T._parse_datatype_string(CUSTOMER),
+        columns=("c_name", "c_custkey", "c_nationkey"),
+        text_columns=True,
+    )
+    return read_table(spark, spec)

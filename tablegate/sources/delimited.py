@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,35 +41,61 @@ def decode_lines(
     wanted = list(columns) or schema.names
     if not wanted:
         return lines.select(*keep)
-    last = max(schema.names.index(name) for name in wanted)
+    positions = {name: schema.names.index(name) for name in wanted}
+    last = max(positions.values())
     limit = last + 2 if last + 1 < len(schema.names) else -1
     kept = [F.col(quote_name(name)) for name in keep]
     split = lines.select(split_text(F.col(LINE), fmt.separator(0), limit).alias(FIELDS), *kept)
+    texts = {name: F.get(F.col(FIELDS), F.lit(i)) for name, i in positions.items()}
+    return _decode(split, texts, schema, fmt, kept, on_bad, observation)
 
-    def field_text(name: str):
-        return F.get(F.col(FIELDS), F.lit(schema.names.index(name)))
-
-    values = {
-        name: checked(field_text(name), schema[name].dataType, fmt, name, on_bad)
-        for name in wanted
-    }
-    rows = split.select(
-        *(value.alias(name) for name, value in values.items()),
-        *kept,
-        *(
-            undecodable(field_text(name), schema[name].dataType, fmt).alias(f"{name}{BAD}")
-            for name in (wanted if observation is not None else [])
-        ),
-    )
+
+def decode_columns(
+    stored: DataFrame,
+    schema: T.StructType,
+    fmt: DelimitedFormat,
+    columns: tuple[str, ...] = (),
+    *,
+    keep: tuple[str, ...] = (),
+    on_bad: str = "null",
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Rows of ``schema`` from a columnar frame that holds every column as text.
+
+    The rules and arguments are those of :func:`decode_lines`; only the
+    wanted columns are read.
+    """
+    wanted = list(columns) or schema.names
+    kept = [F.col(quote_name(name)) for name in keep]
+    texts = {name: F.col(quote_name(name)) for name in wanted}
+    return _decode(stored, texts, schema, fmt, kept, on_bad, observation)
+
+
+def _decode(
+    rows: DataFrame,
+    texts: dict[str, Column],
+    schema: T.StructType,
+    fmt: DelimitedFormat,
+    kept: list[Column],
+    on_bad: str,
+    observation: Observation | None,
+) -> DataFrame:
+    values = [
+        checked(text, schema[name].dataType, fmt, name, on_bad).alias(name)
+        for name, text in texts.items()
+    ]
     if observation is None:
-        return rows
+        return rows.select(*values, *kept)
+    flags = [
+        undecodable(text, schema[name].dataType, fmt).alias(f"{name}{BAD}")
+        for name, text in texts.items()
+    ]
     metrics = [F.count(F.lit(1)).alias("rows")]
-    for name in wanted:
+    for name in texts:
         metrics.append(F.count_if(F.col(quote_name(name)).isNull()).alias(f"{name}_nulls"))
         metrics.append(F.count_if(F.col(quote_name(f"{name}{BAD}"))).alias(f"{name}_bad"))
-    return rows.observe(observation, *metrics).select(
-        *(F.col(quote_name(name)) for name in wanted), *kept
-    )
+    observed = rows.select(*values, *kept, *flags).observe(observation, *metrics)
+    return observed.select(*(F.col(quote_name(name)) for name in texts), *kept)
 
 
 def read_lines(

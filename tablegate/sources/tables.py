@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tablegate.operators.observe import observe_rows
 from tablegate.operators.schema import TableSchema, UnknownColumnError, table_schema
-from tablegate.sources.delimited import decode_lines, read_lines
+from tablegate.sources.delimited import decode_columns, decode_lines, read_lines
 from tablegate.sources.partitions import check_partition_filter
 from tablegate.spec import DelimitedFormat, ReadSpec, quote_name
 
@@ -30,48 +30,63 @@ def read_table(
     """
     if spec.num_splits is not None:
         spark = session_with_splits(spark, spec.num_splits)
-    schema = table_schema(spark, spec)
-    data, keys = output_columns(schema, spec.columns)
-    if spec.format == "delimited" and spec.path is not None:
-        lines = read_lines(
+    if spec.path is not None and spec.format == "delimited":
+        schema = table_schema(spark, spec)
+        scan = read_lines(
             spark, spec.path, schema.partition_keys, skip_unreadable=spec.skip_unreadable
         )
-        chosen = choose_partitions(spark, lines, schema, spec.partition_filter)
-        rows = decode_lines(
-            chosen,
-            schema.data,
-            spec.delimited,
-            tuple(data) or tuple(schema.data.names[:1]),
-            keep=schema.partition_keys,
-            parse_mode=spec.parse_mode,
-            on_bad=spec.on_bad,
-            observation=observation,
-        )
-        return rows.select(*(F.col(quote_name(name)) for name in wanted_order(spec, data, keys)))
-    rows = choose_partitions(spark, open_table(spark, spec, schema), schema, spec.partition_filter)
+    else:
+        schema, scan = open_table(spark, spec)
+    rows = choose_partitions(spark, scan, schema, spec.partition_filter)
+    data, keys = output_columns(schema, spec.columns)
+    wanted = wanted_order(spec, data, keys)
+    if spec.format == "delimited" or spec.text_columns:
+        # with only partition keys asked for, some column still has to carry the rows
+        decoded = tuple(data) or tuple(schema.data.names[:1])
+        if spec.text_columns:
+            rows = decode_columns(
+                rows, schema.data, spec.delimited, decoded,
+                keep=schema.partition_keys, on_bad=spec.on_bad, observation=observation,
+            )
+        else:
+            rows = decode_lines(
+                rows, schema.data, spec.delimited, decoded, keep=schema.partition_keys,
+                parse_mode=spec.parse_mode, on_bad=spec.on_bad, observation=observation,
+            )
+        return rows.select(*(F.col(quote_name(name)) for name in wanted))
     rows = rows.select(
         *(
             rows[quote_name(name)].cast("string").alias(name)
             if name in schema.partition_keys
             else rows[quote_name(name)]
-            for name in wanted_order(spec, data, keys)
+            for name in wanted
         )
     )
     return observe_rows(rows, observation) if observation is not None else rows
 
 
-def open_table(spark: SparkSession, spec: ReadSpec, schema: TableSchema) -> DataFrame:
-    """Scan of a catalog table or of self-describing files, not yet filtered."""
-    if spec.table is not None:
-        reader = spark.read
-        if spec.skip_unreadable:
-            reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-        return reader.table(spec.table)
-    # an explicit schema keeps 007 a string and fills columns old files lack with null
-    reader = spark.read.format(spec.format).schema(schema.struct)
+def open_table(spark: SparkSession, spec: ReadSpec) -> tuple[TableSchema, DataFrame]:
+    """Schema and scan of a catalog table or of self-describing files, not yet filtered."""
+    reader = spark.read
     if spec.skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-    return reader.load(spec.path)
+    if spec.table is not None:
+        return table_schema(spark, spec), reader.table(spec.table)
+    reader = reader.format(spec.format)
+    if spec.schema is None:
+        found = reader.load(spec.path)
+        if not spec.partition_keys:
+            return TableSchema(found.schema), found
+        spec = replace(
+            spec,
+            schema=T.StructType([f for f in found.schema if f.name not in spec.partition_keys]),
+        )
+    schema = table_schema(spark, spec)
+    stored = schema.struct
+    if spec.text_columns:
+        stored = T.StructType([T.StructField(name, T.StringType()) for name in schema.names])
+    # an explicit schema keeps 007 a string and fills columns old files lack with null
+    return schema, reader.schema(stored).load(spec.path)
 
 
 def output_columns(schema: TableSchema, columns: Iterable[str]) -> tuple[list[str], list[str]]:

@@ -72,7 +72,10 @@ class ReadSpec:
     files; giving it saves the footer reads and lets old files lack the newer
     columns. ``partition_filter`` is a SQL predicate over the partition keys,
     whose values are strings. ``num_splits`` asks for about that many input
-    splits. ``skip_unreadable`` reads past corrupt or vanished files.
+    splits. ``text_columns`` says that the files are columnar but hold every
+    data column as text, which is decoded to the types of ``schema`` by the
+    rules for delimited text. ``skip_unreadable`` reads past corrupt or
+    vanished files.
     """
 
     table: str | None = None
@@ -86,6 +89,7 @@ class ReadSpec:
     delimited: DelimitedFormat = field(default_factory=DelimitedFormat)
     parse_mode: str = "lazy"
     on_bad: str = "null"
+    text_columns: bool = False
     skip_unreadable: bool = False
 
     def __post_init__(self) -> None:
@@ -93,6 +97,8 @@ class ReadSpec:
             raise ValueError("give exactly one of table and path")
         if self.format == "delimited" and self.schema is None:
             raise ValueError("delimited text needs a schema")
+        if self.text_columns and (self.schema is None or self.format == "delimited"):
+            raise ValueError("columns held as text need a schema and a columnar format")
 
 
 @dataclass(frozen=True)

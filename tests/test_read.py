@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from pathlib import Path
 
 import pytest
@@ -272,3 +273,40 @@ def test_scratch_space_follows_the_session(spark):
     assert scratch_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_folder(spark) != scratch_folder(spark)
     assert not Path(scratch_folder(spark)).exists()
+
+
+def test_columns_held_as_text(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [("1", "x", "1,2"), ("\\N", "\\N", ""), ("z", "", "3"), (None, None, None)]
+    stored = spark.createDataFrame(rows, "i string, s string, l string")
+    stored.write.orc(f"{path}/ds=a")
+    spec = ReadSpec(
+        path=path, format="orc", schema=parse("i int, s string, l array<int>"),
+        partition_keys=("ds",), delimited=TAB_SEPARATED, text_columns=True,
+    )
+    seen = Observation()
+    read = read_table(spark, spec, observation=seen)
+    assert sorted(map(repr, map(tuple, read.collect()))) == sorted(
+        map(repr, [(1, "x", [1, 2], "a"), (None, None, [], "a"), (None, "", [3], "a"),
+                   (None, None, None, "a")])
+    )
+    assert (seen.get["i_nulls"], seen.get["i_bad"]) == (3, 1)
+    one = read_table(spark, dataclasses.replace(spec, columns=("i",)))
+    assert "ReadSchema: struct<i:string>" in plan_of(one)
+    with pytest.raises(ValueError, match="columnar"):
+        ReadSpec(path=path, text_columns=True)
+
+
+def test_unreadable_files_of_a_catalog_table(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "part-bad.parquet").write_bytes(b"not a table")
+    spark.sql(f"CREATE TABLE bad_t (id BIGINT) USING parquet LOCATION '{tmp_path / 't'}'")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_table(spark, ReadSpec(table="bad_t")).collect()
+    assert read_table(spark, ReadSpec(table="bad_t", skip_unreadable=True)).count() == 5
+
+
+def test_files_describe_themselves(spark, tmp_path):
+    spark.range(5).withColumn("x", F.lit(1.5)).write.parquet(str(tmp_path / "t"))
+    rows = read_table(spark, ReadSpec(path=str(tmp_path / "t"), columns=("x",)))
+    assert rows.count() == 5 and "ReadSchema: struct<x:double>" in plan_of(rows)
