@@ -27,6 +27,7 @@ from tablegate.plans.jobs import (
     tail,
     tail_parse_only,
 )
+from tablegate.session import tune_session
 from tablegate.sinks.checks import OutputCheckError, check_output
 from tablegate.sinks.tables import new_rows, write_profiles, write_table
 from tablegate.sinks.text import append_statistics, write_delimited, write_lines
@@ -49,6 +50,6 @@ __all__ = [
     "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_stats",
     "qualified_name", "read_metrics", "read_mixed_formats", "read_profiles", "read_table",
     "require_type", "rows_from_positions", "selection_stats", "set_exact", "stored_stats",
-    "sweep", "table_schema", "tail", "tail_parse_only", "upgrade_to", "write_delimited",
+    "sweep", "table_schema", "tail", "tail_parse_only", "tune_session", "upgrade_to", "write_delimited",
     "write_lines", "write_profiles", "write_table",
 ]

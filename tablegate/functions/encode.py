@@ -24,6 +24,9 @@ def encode(
         text = _guarded(value, fmt, level) if guard else value
     elif is_primitive(dtype):
         text = value.cast("string")
+    elif kind == "LIST" and is_primitive(dtype.elementType):
+        items = _guarded_items(value, fmt, level) if guard and _is_text(dtype) else value
+        text = F.array_join(items.cast("array<string>"), fmt.separator(level), fmt.null_text)
     elif kind == "LIST":
         text = F.array_join(
             F.transform(value, lambda e: encode(e, dtype.elementType, fmt, level + 1, guard)),
@@ -56,12 +59,30 @@ def encode(
     return F.coalesce(text, null_text)
 
 
+def _is_text(dtype: T.ArrayType) -> bool:
+    return isinstance(dtype.elementType, T.StringType)
+
+
 def _guarded(value: Column, fmt: DelimitedFormat, level: int) -> Column:
-    unsafe = value == fmt.null_text
+    return _refuse(value, _holds_separator(value, fmt, level) | (value == fmt.null_text), value)
+
+
+def _guarded_items(items: Column, fmt: DelimitedFormat, level: int) -> Column:
+    joined = F.array_join(items, "")
+    unsafe = _holds_separator(joined, fmt, level + 1) | F.array_contains(items, fmt.null_text)
+    return _refuse(items, unsafe, joined)
+
+
+def _holds_separator(text: Column, fmt: DelimitedFormat, level: int) -> Column:
+    found = F.lit(False)
     for character in (*fmt.separators[:level], "\r", "\n"):
-        unsafe = unsafe | value.contains(character)
-    message = F.concat(F.lit("text holds a separator, a line break or the null text: "), value)
-    return F.when(unsafe, F.raise_error(message).cast("string")).otherwise(value)
+        found = found | text.contains(character)
+    return found
+
+
+def _refuse(value: Column, unsafe: Column, shown: Column) -> Column:
+    message = F.concat(F.lit("text holds a separator, a line break or the null text: "), shown)
+    return F.when(unsafe, F.raise_error(message)).otherwise(value)
 
 
 def encode_line(schema: T.StructType, fmt: DelimitedFormat, guard: bool = True) -> Column:

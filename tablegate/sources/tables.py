@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tablegate.operators.observe import observe_rows
 from tablegate.operators.schema import TableSchema, UnknownColumnError, table_schema
+from tablegate.session import tune_session
 from tablegate.sources.delimited import decode_columns, decode_lines, read_lines
 from tablegate.sources.partitions import check_partition_filter
 from tablegate.spec import DelimitedFormat, ReadSpec, quote_name
@@ -133,7 +134,7 @@ def session_with_splits(spark: SparkSession, num_splits: int) -> SparkSession:
             other.conf.set(key, value)
     other.conf.set("spark.sql.files.minPartitionNum", str(num_splits))
     other.conf.set("spark.sql.files.openCostInBytes", "1")
-    return other
+    return tune_session(other)
 
 
 def read_profiles(spark: SparkSession, specs: Mapping[str, ReadSpec]) -> dict[str, DataFrame]:

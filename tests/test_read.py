@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tablegate import (
     TAB_SEPARATED, FormatGroup, ReadSpec, list_files, list_partitions, qualified_name,
-    read_mixed_formats, read_profiles, read_table, table_schema, write_delimited,
+    read_mixed_formats, read_profiles, read_table, table_schema, tune_session, write_delimited,
 )
 from tablegate.operators.schema import TableSchema, UnknownColumnError
 
@@ -310,3 +310,17 @@ def test_files_describe_themselves(spark, tmp_path):
     spark.range(5).withColumn("x", F.lit(1.5)).write.parquet(str(tmp_path / "t"))
     rows = read_table(spark, ReadSpec(path=str(tmp_path / "t"), columns=("x",)))
     assert rows.count() == 5 and "ReadSchema: struct<x:double>" in plan_of(rows)
+
+
+def test_wide_text_is_decoded_in_small_methods(spark, tmp_path):
+    """Past the size the JVM compiles, the fused method is given up for many small ones."""
+    names = [f"c{i}" for i in range(40)]
+    text_file(tmp_path / "t", ["\t".join(str(i + row) for i in range(40)) for row in range(5)])
+    schema = ", ".join(f"{name} bigint" for name in names)
+    tuned = tune_session(spark.newSession())
+    rows = read_table(tuned, delimited(str(tmp_path / "t"), schema))
+    assert sorted(map(tuple, rows.collect())) == [
+        tuple(i + row for i in range(40)) for row in range(5)
+    ]
+    assert tuned.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") != "8000"
