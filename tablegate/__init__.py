@@ -18,7 +18,13 @@ from tablegate.operators.limit import limit_rows
 from tablegate.operators.lines import format_lines
 from tablegate.operators.observe import observe_rows, observe_success, read_metrics
 from tablegate.operators.schema import TableSchema, table_schema
-from tablegate.operators.stats import file_stats, partition_stats, selection_stats, stored_stats
+from tablegate.operators.stats import (
+    file_stats,
+    partition_stats,
+    selection_stats,
+    stored_selection_stats,
+    stored_stats,
+)
 from tablegate.plans.jobs import (
     input_benchmark,
     map_only_write,
@@ -49,7 +55,7 @@ __all__ = [
     "kind_of", "limit_rows", "list_files", "list_partitions", "map_only_write", "new_rows",
     "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_stats",
     "qualified_name", "read_metrics", "read_mixed_formats", "read_profiles", "read_table",
-    "require_type", "rows_from_positions", "selection_stats", "set_exact", "stored_stats",
+    "require_type", "rows_from_positions", "selection_stats", "set_exact", "stored_selection_stats", "stored_stats",
     "sweep", "table_schema", "tail", "tail_parse_only", "tune_session", "upgrade_to", "write_delimited",
     "write_lines", "write_profiles", "write_table",
 ]

@@ -15,6 +15,7 @@ from tablegate.operators.schema import table_schema
 from tablegate.sources.partitions import (
     check_partition_filter,
     list_files,
+    list_partitions,
     match_partition_spec,
     partition_clause,
 )
@@ -170,6 +171,25 @@ def stored_stats(
     return StoredStats(int(size.group(1)) if size else 0, int(count.group(1)) if count else None)
 
 
+def stored_selection_stats(spark: SparkSession, spec: ReadSpec) -> StoredStats | None:
+    """Stored statistics of the selected partitions (or the whole table) added up; no scan.
+
+    One catalog call per selected partition. None if the catalog lacks
+    them for any; :func:`selection_stats` then measures them.
+    """
+    if spec.table is None:
+        raise ValueError("stored statistics need a catalog table")
+    if not table_schema(spark, spec).partition_keys:
+        return stored_stats(spark, spec.table)
+    total = StoredStats(0, 0)
+    for row in list_partitions(spark, spec).toLocalIterator():
+        found = stored_stats(spark, spec.table, row.asDict())
+        if found is None:
+            return None
+        total = total + found
+    return total
+
+
 def estimated_bytes(rows_read: Column, num_rows: Column, raw_size: Column) -> Column:
     """Raw bytes a read of ``rows_read`` rows stands for, in proportion to the whole."""
     return rows_read / num_rows.cast("double") * raw_size

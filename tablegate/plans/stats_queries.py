@@ -10,7 +10,7 @@ from tablegate.functions.units import convert_size
 from tablegate.operators.stats import estimated_bytes as estimate
 from tablegate.operators.stats import file_stats as files_of
 from tablegate.operators.stats import partition_stats as stats_of
-from tablegate.operators.stats import row_size
+from tablegate.operators.stats import row_size, stored_selection_stats
 from tablegate.operators.stats import selection_stats as totals_of
 from tablegate.operators.stats import stored_stats as stored
 from tablegate.plans import jobs
@@ -87,6 +87,21 @@ def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "ds string, num_rows bigint")
 
 
+@query(
+    """SELECT count(*) AS num_rows, true AS has_size FROM orders
+       WHERE o_orderstatus IN ('F', 'P')"""
+)
+def stored_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog statistics of the selected partitions together."""
+    table = orders_by_status(spark, sf_dir)
+    spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION (ds) COMPUTE STATISTICS")
+    spec = ReadSpec(table=table, partition_filter="ds IN ('F', 'P')")
+    total = stored_selection_stats(spark, spec)
+    return spark.createDataFrame(
+        [(total.num_rows, total.total_size > 0)], "num_rows bigint, has_size boolean"
+    )
+
+
 @query(
     """SELECT count(*) FILTER (WHERE o_orderstatus = 'F') / CAST(count(*) AS DOUBLE)
               * sum(length(o_orderpriority)) AS est_bytes FROM orders"""

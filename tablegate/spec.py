@@ -71,7 +71,8 @@ class ReadSpec:
     ``schema`` holds the data columns. It may be left out for self-describing
     files; giving it saves the footer reads and lets old files lack the newer
     columns. ``partition_filter`` is a SQL predicate over the partition keys,
-    whose values are strings. ``num_splits`` asks for about that many input
+    whose values are strings. For a catalog table only the chosen partitions
+    are listed; a path is listed whole. ``num_splits`` asks for about that many input
     splits. ``text_columns`` says that the files are columnar but hold every
     data column as text, which is decoded to the types of ``schema`` by the
     rules for delimited text. ``skip_unreadable`` reads past corrupt or

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablegate import (
     OutputCheckError, ReadSpec, WriteSpec, check_output, map_only_write, new_rows, output_job,
-    read_table, stored_stats, write_profiles, write_table,
+    read_table, stored_selection_stats, stored_stats, write_profiles, write_table,
 )
 from tablegate.functions.text import escape_path_value, partition_path, unescape_path_value
 from tablegate.functions.widening import WideningError
@@ -189,6 +189,13 @@ def test_stored_statistics(spark, by_day, rows):
     stats = stored_stats(spark, by_day, {"DS": "a/b"})
     assert stats.num_rows == 2 and stats.total_size > 0
     assert (stats + stats).num_rows == 4
+    write_table(rows, WriteSpec(by_day, {"ds": "c"}))
+    assert stored_selection_stats(spark, ReadSpec(table=by_day)) is None
+    some = ReadSpec(table=by_day, partition_filter="ds <> 'c'")
+    assert stored_selection_stats(spark, some) == stats
+    assert stored_selection_stats(
+        spark, ReadSpec(table=by_day, partition_filter="ds = 'none'")
+    ).num_rows == 0
 
 
 def test_partition_paths_match_the_directories_spark_makes(spark, tmp_path):
