@@ -16,7 +16,7 @@ from tablegate.operators.lines import DEFAULT_SEPARATOR, format_lines
 from tablegate.operators.observe import drain
 from tablegate.operators.schema import table_schema
 from tablegate.operators.stats import row_size, throughput_line
-from tablegate.sinks.checks import writable_schema
+from tablegate.sinks.checks import check_output
 from tablegate.sinks.tables import write_table
 from tablegate.sinks.text import append_statistics
 from tablegate.sources.tables import read_table
@@ -116,5 +116,6 @@ def output_job(df: DataFrame, spec: WriteSpec, writers: int) -> None:
 
 def map_only_write(df: DataFrame, positions: str, spec: WriteSpec, *, check: bool = True) -> None:
     """Write rows given as maps of position to value; a narrow job, no shuffle."""
-    target = writable_schema(df.sparkSession, spec)
-    write_table(rows_from_positions(df, positions, target.data), spec, check=check)
+    target, _ = check_output(df.sparkSession, spec, target_is_new=check)
+    # checked above
+    write_table(rows_from_positions(df, positions, target.data), spec, check=False)

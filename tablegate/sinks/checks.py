@@ -27,10 +27,10 @@ def check_exists(spark: SparkSession, spec: WriteSpec) -> None:
         raise OutputCheckError("missing_table", f"table {spec.table} does not exist")
 
 
-def check_layout(spark: SparkSession, spec: WriteSpec) -> dict[str, str]:
+def check_layout(spark: SparkSession, spec: WriteSpec) -> tuple[TableSchema, dict[str, str]]:
     """Refuse bucketed and sorted tables and a wrong number of partition values.
 
-    Returns the partition values in table key order.
+    Returns the table's schema and the partition values in table key order.
     """
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(spec.table)}")
     refused = described.where(
@@ -40,7 +40,8 @@ def check_layout(spark: SparkSession, spec: WriteSpec) -> dict[str, str]:
     if refused:
         found = ", ".join(f"{row.col_name} {row.data_type}" for row in refused)
         raise OutputCheckError("bucketed_table", f"table {spec.table} is bucketed: {found}")
-    keys = catalog_schema(spark, spec.table).partition_keys
+    schema = catalog_schema(spark, spec.table)
+    keys = schema.partition_keys
     if keys and not spec.partition:
         raise OutputCheckError(
             "needs_partition", f"table {spec.table} is partitioned by {list(keys)}, the write is not"
@@ -55,7 +56,7 @@ def check_layout(spark: SparkSession, spec: WriteSpec) -> dict[str, str]:
             partition_clause(values)
     except ValueError as error:
         raise OutputCheckError("partition_keys", f"table {spec.table}: {error}") from error
-    return values
+    return schema, values
 
 
 def check_partition_is_new(spark: SparkSession, spec: WriteSpec, values: dict[str, str]) -> None:
@@ -71,21 +72,19 @@ def check_table_is_empty(spark: SparkSession, spec: WriteSpec) -> None:
         raise OutputCheckError("table_not_empty", f"table {spec.table} has existing data")
 
 
-def check_output(spark: SparkSession, spec: WriteSpec) -> None:
+def check_output(
+    spark: SparkSession, spec: WriteSpec, *, target_is_new: bool = True
+) -> tuple[TableSchema, dict[str, str]]:
     """All checks: the table exists, its layout and partitioning agree, the target is new.
 
     With ``replace_partition`` an existing partition is allowed; the write
-    swaps it out.
+    swaps it out. Returns the table's schema and the partition values in
+    table key order.
     """
     check_exists(spark, spec)
-    values = check_layout(spark, spec)
-    if not values:
+    schema, values = check_layout(spark, spec)
+    if target_is_new and not values:
         check_table_is_empty(spark, spec)
-    elif not spec.replace_partition:
+    elif target_is_new and not spec.replace_partition:
         check_partition_is_new(spark, spec, values)
-
-
-def writable_schema(spark: SparkSession, spec: WriteSpec) -> TableSchema:
-    """Schema of the target; rows hold its data columns only."""
-    check_exists(spark, spec)
-    return catalog_schema(spark, spec.table)
+    return schema, values

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tablegate.functions.widening import upgrade_to
 from tablegate.operators.observe import observe_rows
-from tablegate.sinks.checks import check_layout, check_output, writable_schema
+from tablegate.sinks.checks import check_output
 from tablegate.sources.partitions import partition_clause
 from tablegate.spec import WriteSpec, quote_table
 
@@ -27,10 +27,7 @@ def write_table(
     and the rows are added to what is there.
     """
     spark = df.sparkSession
-    if check:
-        check_output(spark, spec)
-    target = writable_schema(spark, spec)
-    values = check_layout(spark, spec)
+    target, values = check_output(spark, spec, target_is_new=check)
     rows = upgrade_to(df, target.data)
     if spec.num_files is not None:
         rows = rows.repartition(spec.num_files)

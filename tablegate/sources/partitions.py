@@ -59,7 +59,9 @@ def list_partitions(spark: SparkSession, spec: ReadSpec) -> DataFrame:
 def list_files(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> DataFrame:
     """One row per file under ``path``: partition keys, ``file_path``, ``file_size``.
 
-    The content column is not selected, so the files stay closed.
+    The content column is not selected, so the files stay closed. The scan is
+    cut by file size as if they were read; coalescing gives each task many
+    files to name instead of one.
     """
     schema = T.StructType(
         [
@@ -71,7 +73,7 @@ def list_files(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> Data
         ]
     )
     files = spark.read.format("binaryFile").schema(schema).load(path)
-    return files.select(
+    return files.coalesce(spark.sparkContext.defaultParallelism).select(
         *keys, F.col("path").alias("file_path"), F.col("length").alias("file_size")
     )
 

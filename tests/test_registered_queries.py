@@ -20,6 +20,9 @@ def connection():
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_matches_sql(spark, connection, name):
     frame = driver.queries()[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
+        assert step not in plan
     assert difference(frame, connection, driver.oracle_sql()[name]) is None
 
 
