@@ -15,10 +15,10 @@ from tablegate.operators.access import (
     data_columns,
     first_long_long_double,
     get_map,
-    null_sentinels,
     require_type,
     rows_from_positions,
 )
+from tablegate.operators.access import null_sentinels as with_sentinels
 from tablegate.operators.limit import limit_rows
 from tablegate.operators.lines import debug_text, format_lines
 from tablegate.operators.schema import table_schema as schema_of
@@ -203,8 +203,8 @@ def strict_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT o_orderkey, COALESCE(CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_custkey END,
               CAST('-9223372036854775808' AS BIGINT)) AS custkey FROM orders"""
 )
-def null_sentinel_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return null_sentinels(_orders_with_null_customers(spark, sf_dir).drop("o_orderpriority"))
+def null_sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_sentinels(_orders_with_null_customers(spark, sf_dir).drop("o_orderpriority"))
 
 
 def _orders_with_null_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
