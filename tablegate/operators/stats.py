@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tablegate.functions.units import to_megabytes
 from tablegate.operators.schema import table_schema
+from tablegate.sources.delimited import LINE
 from tablegate.sources.partitions import (
     check_partition_filter,
     list_files,
@@ -85,18 +86,19 @@ def partition_stats(
     """``num_files, num_rows, raw_size, total_size`` per partition, measured in one scan.
 
     Raw size covers the columns of ``spec`` (all data columns if none are
-    named). Rows are first added up per file, which spreads a partition of
+    named); for delimited text it is that of the lines. Rows are first added up per file, which spreads a partition of
     any size over many groups; what then comes together is one row per file.
     A file without rows is not counted.
     """
     schema, scan = open_table(spark, spec)
     rows = choose_partitions(spark, scan, schema, spec.partition_filter)
     keys = [F.col(quote_name(key)).cast("string").alias(key) for key in schema.partition_keys]
+    measured = (LINE,) if spec.format == "delimited" else spec.columns or tuple(schema.data.names)
     sized = rows.select(
         *(keys if by_partition else ()),
         F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_size").alias("__file_size"),
-        row_size(rows, spec.columns or tuple(schema.data.names)).alias("__bytes"),
+        row_size(rows, measured).alias("__bytes"),
     )
     grouping = list(schema.partition_keys) if by_partition else []
     per_file = sized.groupBy(*grouping, "__file").agg(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.text import partition_path as path_of
-from tablegate.functions.widening import WideningError, can_widen, set_exact, upgrade_to
+from tablegate.functions.widening import WideningError, can_widen, set_exact, upgrade_to, widen
 from tablegate.plans.jobs import map_only_write as map_only_job
 from tablegate.plans.jobs import output_job
 from tablegate.plans.read_queries import lineitem_positions
@@ -153,7 +153,7 @@ def widening_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
             source, target = (T._parse_datatype_string(t) for t in (from_type, to_type))
             name = f"{from_kind}_{to_kind}"
             allowed.append((name, from_kind, to_kind, can_widen(source, target)))
-            totals.append(_total_after_widening(lines, number, source, target).alias(name))
+            totals.append(_total_after_widening(number, source, target).alias(name))
     sums = lines.agg(*totals).unpivot([], [row[0] for row in allowed], "pair", "num_values")
     # one row per pair of kinds
     pairs = spark.createDataFrame(
@@ -164,20 +164,15 @@ def widening_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _total_after_widening(lines, number, source, target):
+def _total_after_widening(number: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Sum of the numbers after a round through ``target``; 0 where that is refused."""
     boolean = isinstance(source, T.BooleanType)
-    narrowed = (number > 0) if boolean else number.cast(source)
+    given_as = (number > 0) if boolean else number.cast(source)
     try:
-        widened = upgrade_to(
-            lines.select(narrowed.alias("v")), T.StructType([T.StructField("v", target)])
-        )
+        wide = widen(given_as, source, target)
     except WideningError:
         return F.lit(0).cast("bigint")
-    # the check passed on the schema; the same cast, inside one aggregate over the table
-    assert widened.schema["v"].dataType == target
-    value = narrowed.cast(target)
-    back = F.when(value, number) if boolean else value.cast("bigint")
-    return F.sum(back)
+    return F.sum(F.when(wide, number) if boolean else wide.cast("bigint"))
 
 
 @query("SELECT c_custkey, c_name, c_nationkey FROM customer")

@@ -31,13 +31,7 @@ def read_table(
     """
     if spec.num_splits is not None:
         spark = session_with_splits(spark, spec.num_splits)
-    if spec.path is not None and spec.format == "delimited":
-        schema = table_schema(spark, spec)
-        scan = read_lines(
-            spark, spec.path, schema.partition_keys, skip_unreadable=spec.skip_unreadable
-        )
-    else:
-        schema, scan = open_table(spark, spec)
+    schema, scan = open_table(spark, spec)
     rows = choose_partitions(spark, scan, schema, spec.partition_filter)
     data, keys = output_columns(schema, spec.columns)
     wanted = wanted_order(spec, data, keys)
@@ -67,7 +61,12 @@ def read_table(
 
 
 def open_table(spark: SparkSession, spec: ReadSpec) -> tuple[TableSchema, DataFrame]:
-    """Schema and scan of a catalog table or of self-describing files, not yet filtered."""
+    """Schema and scan of a table or path, not yet filtered or decoded."""
+    if spec.format == "delimited":
+        schema = table_schema(spark, spec)
+        return schema, read_lines(
+            spark, spec.path, schema.partition_keys, skip_unreadable=spec.skip_unreadable
+        )
     reader = spark.read
     if spec.skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)

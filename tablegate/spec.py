@@ -96,8 +96,8 @@ class ReadSpec:
     def __post_init__(self) -> None:
         if (self.table is None) == (self.path is None):
             raise ValueError("give exactly one of table and path")
-        if self.format == "delimited" and self.schema is None:
-            raise ValueError("delimited text needs a schema")
+        if self.format == "delimited" and (self.schema is None or self.path is None):
+            raise ValueError("delimited text needs a schema and a path")
         if self.text_columns and (self.schema is None or self.format == "delimited"):
             raise ValueError("columns held as text need a schema and a columnar format")
 

@@ -68,6 +68,22 @@ def test_unpartitioned_stats(spark, tmp_path):
     assert (row.num_rows, row.raw_size) == (10, 80)
 
 
+def test_delimited_stats_measure_the_lines(spark, tmp_path):
+    rows = spark.range(10).select("id", F.lit("ab").alias("s"), (F.col("id") % 2).alias("ds"))
+    path = str(tmp_path / "t")
+    write_delimited(rows, path, TAB_SEPARATED, partition_keys=("ds",))
+    spec = ReadSpec(
+        path=path, format="delimited", schema=parse("id bigint, s string"),
+        partition_keys=("ds",), delimited=TAB_SEPARATED,
+    )
+    found = {r.ds: (r.num_rows, r.raw_size) for r in partition_stats(spark, spec).collect()}
+    assert found == {"0": (5, 20), "1": (5, 20)}
+    total = selection_stats(spark, spec).first()
+    assert (total.num_rows, total.raw_size) == (10, 40)
+    # file sizes count the line ends too
+    assert total.total_size == 50
+
+
 def test_row_size(spark):
     rows = spark.sql(
         """SELECT true AS b, 1Y AS t, 1S AS h, 1 AS i, 1L AS l, cast(1 AS float) AS f, 1D AS d,
