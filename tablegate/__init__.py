@@ -55,7 +55,7 @@ __all__ = [
     "kind_of", "limit_rows", "list_files", "list_partitions", "map_only_write", "new_rows",
     "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_stats",
     "qualified_name", "read_metrics", "read_mixed_formats", "read_profiles", "read_table",
-    "require_type", "rows_from_positions", "selection_stats", "set_exact", "stored_selection_stats", "stored_stats",
-    "sweep", "table_schema", "tail", "tail_parse_only", "tune_session", "upgrade_to", "write_delimited",
-    "write_lines", "write_profiles", "write_table",
+    "require_type", "rows_from_positions", "selection_stats", "set_exact",
+    "stored_selection_stats", "stored_stats", "sweep", "table_schema", "tail", "tail_parse_only",
+    "tune_session", "upgrade_to", "write_delimited", "write_lines", "write_profiles", "write_table",
 ]

@@ -54,7 +54,7 @@ def require_type(df: DataFrame, column: str | int, dtype: T.DataType | str) -> C
     ``column`` is a name or a position. For a list the outer kind decides.
     """
     field = _field(df, column)
-    wanted = T._parse_datatype_string(dtype) if isinstance(dtype, str) else dtype
+    wanted = T.DataType.fromDDL(dtype) if isinstance(dtype, str) else dtype
     same_kind = isinstance(wanted, T.ArrayType) and isinstance(field.dataType, T.ArrayType)
     if field.dataType != wanted and not same_kind:
         raise ColumnTypeError(

@@ -86,9 +86,10 @@ def partition_stats(
     """``num_files, num_rows, raw_size, total_size`` per partition, measured in one scan.
 
     Raw size covers the columns of ``spec`` (all data columns if none are
-    named); for delimited text it is that of the lines. Rows are first added up per file, which spreads a partition of
-    any size over many groups; what then comes together is one row per file.
-    A file without rows is not counted.
+    named); for delimited text it is that of the lines. Rows are first added
+    up per file, which spreads a partition of any size over many groups; what
+    then comes together is one row per file. A file without rows is not
+    counted.
     """
     schema, scan = open_table(spark, spec)
     rows = choose_partitions(spark, scan, schema, spec.partition_filter)

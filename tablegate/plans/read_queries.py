@@ -73,7 +73,7 @@ def read_partition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_partition_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=events_by_day(spark, sf_dir),
-        schema=T._parse_datatype_string(EVENT_COLUMNS),
+        schema=T.DataType.fromDDL(EVENT_COLUMNS),
         partition_keys=("ds",),
         columns=("event_id", "user_id"),
         partition_filter="ds >= '2024-01-10' AND ds < '2024-01-15'",
@@ -88,7 +88,7 @@ def read_partition_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A partition key among the named columns keeps its asked-for place."""
     spec = ReadSpec(
         path=events_by_day(spark, sf_dir),
-        schema=T._parse_datatype_string(EVENT_COLUMNS),
+        schema=T.DataType.fromDDL(EVENT_COLUMNS),
         partition_keys=("ds",),
         columns=("ds", "event_id"),
     )
@@ -123,7 +123,7 @@ def list_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def list_path_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=events_by_day(spark, sf_dir),
-        schema=T._parse_datatype_string(EVENT_COLUMNS),
+        schema=T.DataType.fromDDL(EVENT_COLUMNS),
         partition_keys=("ds",),
         partition_filter="ds LIKE '2024-01-1%'",
     )
@@ -241,7 +241,7 @@ def row_without_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_orderkey AS i1, l_partkey AS i2, l_suppkey AS i3, NULL::BIGINT AS i4 FROM lineitem")
 def position_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = T._parse_datatype_string("i1 bigint, i2 bigint, i3 bigint, i4 bigint")
+    schema = T.DataType.fromDDL("i1 bigint, i2 bigint, i3 bigint, i4 bigint")
     return rows_from_positions(lineitem_positions(spark, sf_dir), "positions", schema)
 
 
@@ -273,7 +273,7 @@ def orders_two_widths(spark: SparkSession, sf_dir: str) -> str:
 def added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=orders_two_widths(spark, sf_dir),
-        schema=T._parse_datatype_string("o_orderkey bigint, o_orderpriority string"),
+        schema=T.DataType.fromDDL("o_orderkey bigint, o_orderpriority string"),
         partition_keys=("ds",),
     )
     return read_table(spark, spec)
@@ -295,7 +295,7 @@ def orders_two_formats(spark: SparkSession, sf_dir: str) -> str:
 @query("SELECT o_orderkey, o_custkey, o_orderstatus AS ds FROM orders")
 def mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = orders_two_formats(spark, sf_dir)
-    data = T._parse_datatype_string("o_orderkey bigint, o_custkey bigint")
+    data = T.DataType.fromDDL("o_orderkey bigint, o_custkey bigint")
     groups = [
         FormatGroup("delimited", (f"{path}/ds=F",), data, TAB_SEPARATED),
         FormatGroup("parquet", (f"{path}/ds=O", f"{path}/ds=P"), data),
@@ -320,7 +320,7 @@ def orders_with_bad_files(spark: SparkSession, sf_dir: str) -> str:
 def skip_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=orders_with_bad_files(spark, sf_dir),
-        schema=T._parse_datatype_string("o_orderkey bigint"),
+        schema=T.DataType.fromDDL("o_orderkey bigint"),
         partition_keys=("ds",),
         skip_unreadable=True,
     )
@@ -373,7 +373,7 @@ def tail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(l_orderkey AS VARCHAR) || '|' || l_partkey || '|' || l_quantity AS line FROM lineitem")
 def tail_row_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contract = T._parse_datatype_string("l_orderkey bigint, l_partkey bigint, l_quantity double")
+    contract = T.DataType.fromDDL("l_orderkey bigint, l_partkey bigint, l_quantity double")
     spec = ReadSpec(path=f"{sf_dir}/lineitem.parquet")
     return tail(spark, spec, separator="|", contract=contract)
 

@@ -72,7 +72,7 @@ def raw_row_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=events_by_day(spark, sf_dir),
-        schema=T._parse_datatype_string("event_id bigint"),
+        schema=T.DataType.fromDDL("event_id bigint"),
         partition_keys=("ds",),
     )
     return files_of(spark, spec).select("ds", (F.col("total_size") > 0).alias("has_size"))
@@ -166,7 +166,7 @@ def split_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=customer_text(spark, sf_dir),
         format="delimited",
-        schema=T._parse_datatype_string(CUSTOMER),
+        schema=T.DataType.fromDDL(CUSTOMER),
         delimited=TAB_SEPARATED,
     )
     for splits in (1, 6, 11):

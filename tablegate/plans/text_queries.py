@@ -20,7 +20,7 @@ def _text(path: str, schema: str, **more: object) -> ReadSpec:
     return ReadSpec(
         path=path,
         format="delimited",
-        schema=T._parse_datatype_string(schema),
+        schema=T.DataType.fromDDL(schema),
         delimited=TAB_SEPARATED,
         **more,
     )
@@ -52,7 +52,10 @@ def text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, spec)
 
 
-@query("SELECT 'lazy' AS mode, c_custkey, c_acctbal FROM customer UNION ALL SELECT 'bytes', c_custkey, c_acctbal FROM customer")
+@query(
+    """SELECT 'lazy' AS mode, c_custkey, c_acctbal FROM customer
+       UNION ALL SELECT 'bytes', c_custkey, c_acctbal FROM customer"""
+)
 def text_parse_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ("c_custkey", "c_acctbal")
     path = customer_text(spark, sf_dir)
@@ -284,7 +287,7 @@ def columnar_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns held as text decode by the same rules; unwanted ones are not read."""
     spec = ReadSpec(
         path=customer_text_columns(spark, sf_dir),
-        schema=T._parse_datatype_string(CUSTOMER),
+        schema=T.DataType.fromDDL(CUSTOMER),
         columns=("c_name", "c_custkey", "c_nationkey"),
         text_columns=True,
     )

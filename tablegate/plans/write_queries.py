@@ -121,7 +121,7 @@ def widen_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("place"),
     )
     schema = "l_orderkey bigint, numbers array<bigint>, place struct<line:double,part:bigint>"
-    wide = upgrade_to(rows, T._parse_datatype_string(schema))
+    wide = upgrade_to(rows, T.DataType.fromDDL(schema))
     total = F.aggregate("numbers", F.lit(0).cast("bigint"), lambda a, b: a + b)
     return wide.select("l_orderkey", total.alias("list_sum"), "place.line", "place.part")
 
@@ -150,7 +150,7 @@ def widening_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals, allowed = [], []
     for from_kind, from_type in _MATRIX_KINDS.items():
         for to_kind, to_type in _MATRIX_KINDS.items():
-            source, target = (T._parse_datatype_string(t) for t in (from_type, to_type))
+            source, target = (T.DataType.fromDDL(t) for t in (from_type, to_type))
             name = f"{from_kind}_{to_kind}"
             allowed.append((name, from_kind, to_kind, can_widen(source, target)))
             totals.append(_total_after_widening(number, source, target).alias(name))
@@ -177,7 +177,7 @@ def _total_after_widening(number: Column, source: T.DataType, target: T.DataType
 
 @query("SELECT c_custkey, c_name, c_nationkey FROM customer")
 def strict_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = T._parse_datatype_string("c_custkey bigint, c_name string, c_nationkey int")
+    schema = T.DataType.fromDDL("c_custkey bigint, c_name string, c_nationkey int")
     rows = given(spark, sf_dir, "customer", "c_nationkey", "c_name", "c_custkey")
     return set_exact(rows, schema)
 

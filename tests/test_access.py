@@ -16,7 +16,7 @@ from tablegate.functions.widening import WideningError
 from tablegate.operators.access import ColumnTypeError
 from tablegate.operators.lines import debug_text
 
-parse = T._parse_datatype_string
+parse = T.DataType.fromDDL
 ALL = (
     "t1 tinyint, s1 smallint, i1 int, l1 bigint, b1 boolean, f1 float, d1 double, str1 string, "
     "li1 array<bigint>, m1 map<string,float>, st1 struct<a:int,b:string>"

@@ -18,7 +18,7 @@ from tablegate.spec import TAB_SEPARATED, DelimitedFormat
 
 def decoded(spark, texts, type_name):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    dtype = T._parse_datatype_string(type_name)
+    dtype = T.DataType.fromDDL(type_name)
     rows = frame.select(
         "i",
         decode(F.col("t"), dtype, TAB_SEPARATED).alias("v"),
@@ -122,17 +122,17 @@ def test_struct(spark):
 
 def test_nested_collections_use_deeper_separators(spark):
     frame = spark.createDataFrame([("a\x032\x043\x02b\x03",)], "t string")
-    dtype = T._parse_datatype_string("map<string,array<int>>")
+    dtype = T.DataType.fromDDL("map<string,array<int>>")
     row = frame.select(decode(F.col("t"), dtype, DelimitedFormat()).alias("v")).first()
     assert row.v == {"a": [2, 3], "b": []}
     with pytest.raises(ValueError, match="nesting level"):
-        decode(F.col("t"), T._parse_datatype_string("array<array<array<int>>>"), TAB_SEPARATED)
+        decode(F.col("t"), T.DataType.fromDDL("array<array<array<int>>>"), TAB_SEPARATED)
 
 
 @pytest.mark.parametrize("separator", list(".$|()[{^?*+\\") + ["\x01", "\t", ",", "a", "]", "}"])
 def test_every_separator_is_literal(spark, separator):
     frame = spark.createDataFrame([(f"1{separator}{separator}3{separator}",)], "value string")
-    schema = T._parse_datatype_string("a int, b string, c int, d string, e int")
+    schema = T.DataType.fromDDL("a int, b string, c int, d string, e int")
     rows = decode_lines(frame, schema, DelimitedFormat(separators=(separator,)))
     assert tuple(rows.first()) == (1, "", 3, "", None)
     assert len(split_pattern(separator)) <= 2
@@ -141,7 +141,7 @@ def test_every_separator_is_literal(spark, separator):
 def test_columns_in_a_new_order_and_short_rows(spark):
     lines = ["1\tx\t2.5", "2", "", "3\ty", "4\tz\t1.5\tsurplus"]
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
-    schema = T._parse_datatype_string("a int, b string, c double")
+    schema = T.DataType.fromDDL("a int, b string, c double")
     rows = decode_lines(frame, schema, TAB_SEPARATED, ("c", "a"))
     assert rows.columns == ["c", "a"]
     assert {tuple(r) for r in rows.collect()} == {
@@ -156,7 +156,7 @@ def test_bad_values_are_counted_in_the_same_pass(spark):
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
     seen = Observation()
     rows = decode_lines(
-        frame, T._parse_datatype_string("a int, b int"), TAB_SEPARATED, observation=seen
+        frame, T.DataType.fromDDL("a int, b int"), TAB_SEPARATED, observation=seen
     )
     assert rows.columns == ["a", "b"]
     rows.collect()
@@ -165,7 +165,7 @@ def test_bad_values_are_counted_in_the_same_pass(spark):
 
 def test_bad_value_can_fail_the_job(spark):
     frame = spark.createDataFrame([("1\t2",), ("x\t3",)], "value string")
-    schema = T._parse_datatype_string("a int, b int")
+    schema = T.DataType.fromDDL("a int, b int")
     with pytest.raises(Exception, match="column a: cannot decode x"):
         decode_lines(frame, schema, TAB_SEPARATED, on_bad="fail").collect()
     only_b = decode_lines(frame, schema, TAB_SEPARATED, ("b",), on_bad="fail")
@@ -174,7 +174,7 @@ def test_bad_value_can_fail_the_job(spark):
 
 def test_unknown_modes_are_refused(spark):
     frame = spark.createDataFrame([("1",)], "value string")
-    schema = T._parse_datatype_string("a int")
+    schema = T.DataType.fromDDL("a int")
     with pytest.raises(ValueError, match="parse mode"):
         decode_lines(frame, schema, TAB_SEPARATED, parse_mode="other")
     with pytest.raises(ValueError, match="on_bad"):
@@ -211,7 +211,7 @@ def test_random_lines_match_a_plain_decoder(spark):
         )
 
     frame = spark.createDataFrame([(line,) for line in lines], "value string")
-    schema = T._parse_datatype_string("a tinyint, b bigint, c boolean, d string, e array<string>")
+    schema = T.DataType.fromDDL("a tinyint, b bigint, c boolean, d string, e array<string>")
     rows = decode_lines(frame, schema, TAB_SEPARATED).collect()
     got = [(r.a, r.b, r.c, r.d, None if r.e is None else tuple(r.e)) for r in rows]
     assert sorted(map(repr, got)) == sorted(repr(plain(line)) for line in lines)
@@ -221,7 +221,7 @@ def test_decoding_stays_in_generated_code(spark, tmp_path):
     spark.createDataFrame([("1\tx",)], "value string").write.text(str(tmp_path / "t"))
     rows = decode_lines(
         spark.read.text(str(tmp_path / "t")),
-        T._parse_datatype_string("a int, b string"),
+        T.DataType.fromDDL("a int, b string"),
         TAB_SEPARATED,
     )
     plan = rows._jdf.queryExecution().executedPlan().toString()

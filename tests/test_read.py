@@ -17,7 +17,7 @@ from tablegate import (
 )
 from tablegate.operators.schema import TableSchema, UnknownColumnError
 
-parse = T._parse_datatype_string
+parse = T.DataType.fromDDL
 
 
 def plan_of(frame):

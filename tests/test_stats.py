@@ -22,7 +22,7 @@ from tablegate.functions.units import BIT_UNITS, BYTE_UNITS, to_megabytes
 from tablegate.operators.access import ColumnTypeError
 from tablegate.operators.stats import estimated_bytes, row_size, throughput_line
 
-parse = T._parse_datatype_string
+parse = T.DataType.fromDDL
 
 
 @pytest.fixture(scope="module")
@@ -186,9 +186,9 @@ def test_unsafe_text_is_refused(spark, tmp_path):
         write_delimited(inner, str(tmp_path / "bad-inner"), TAB_SEPARATED)
 
 
-safe = st.text(st.characters(min_codepoint=32, max_codepoint=0x24F, exclude_characters="\x7f"), max_size=6).filter(
-    lambda s: s != "\\N"
-)
+safe = st.text(
+    st.characters(min_codepoint=32, max_codepoint=0x24F, exclude_characters="\x7f"), max_size=6
+).filter(lambda s: s != "\\N")
 row = st.tuples(
     st.none() | st.integers(-(2**63), 2**63 - 1),
     st.none() | safe,

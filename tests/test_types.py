@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tablegate.functions import kinds
 from tablegate.functions.widening import WideningError, can_widen, set_exact, upgrade_to
 
-parse = T._parse_datatype_string
+parse = T.DataType.fromDDL
+pytestmark = pytest.mark.usefixtures("spark")
 
 TYPES = {
     "BOOLEAN": "boolean", "BYTE": "tinyint", "SHORT": "smallint", "INT": "int", "LONG": "bigint",
