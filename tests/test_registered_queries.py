@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from tablegate.plans.registry import QUERIES
 from oracle import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,7 +18,7 @@ def connection():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, connection, name):
     frame = driver.queries()[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
