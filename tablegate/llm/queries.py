@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import mixing, pii
+from tablegate.llm import chat, mixing, pii, rules, simhash
 from tablegate.plans.registry import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +78,32 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
 
 
+def op2_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    judged = rules.apply_rules(docs, given(spark, sf_dir, "labels", "doc_id", "quality"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("rejected_by", ",").alias("rejected_by"),
+    )
+
+
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(given(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = given(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-1).cast("long"), "id", role, said).toDF("conv_id", "turn", "role", "text")
+    return chat.digest_examples(chat.expand_conversations(rows.unionByName(more)))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_certified_rules": op2_certified_rules,
     "op4_source_mixing": op4_source_mixing,
+    "op5_simhash_components": op5_simhash_components,
+    "op6_chat_examples": op6_chat_examples,
     "op10_personal_data": op10_personal_data,
 }
 ORACLES: dict[str, str] = {"op4_source_mixing": " ".join(OP4_SQL.split())}

@@ -6,7 +6,7 @@ A word is a run of ``[^\\x20\\x09-\\x0D]``. On bytes that is exactly what
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -50,3 +50,24 @@ def rows_within(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples, one batch's Python values at a time."""
     for batch in batches:
         yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+def in_batches(
+    rows: Iterator[tuple], schema: pa.Schema, most_rows: int = 4096, weigh: Callable[[tuple], int] | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of at most so many rows, or about ``BATCH_BYTES`` by weight."""
+    held: list[tuple] = []
+    weight = 0
+    for row in rows:
+        held.append(row)
+        weight += weigh(row) if weigh else 0
+        if len(held) >= most_rows or weight >= BATCH_BYTES:
+            yield as_batch(held, schema)
+            held, weight = [], 0
+    if held:
+        yield as_batch(held, schema)
+
+
+def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
