@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import chat, mixing, pii, rules, simhash
+from tablegate.llm import chat, htmltext, mixing, nearest, pii, rules, simhash
 from tablegate.plans.registry import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,11 +99,40 @@ def op6_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_examples(chat.expand_conversations(rows.unionByName(more)))
 
 
+def op1_block_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = given(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest.nearest_neighbours(vectors, F.col("vec_id") % nearest.QUERY_EVERY == 0)
+
+
+OP1_SQL = r"""
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
+
+
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_main_text(given(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_block_nearest": op1_block_nearest,
     "op2_certified_rules": op2_certified_rules,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_components": op5_simhash_components,
     "op6_chat_examples": op6_chat_examples,
+    "op8_page_text": op8_page_text,
     "op10_personal_data": op10_personal_data,
 }
-ORACLES: dict[str, str] = {"op4_source_mixing": " ".join(OP4_SQL.split())}
+ORACLES: dict[str, str] = {
+    "op1_block_nearest": " ".join(OP1_SQL.split()),
+    "op4_source_mixing": " ".join(OP4_SQL.split()),
+}
