@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import chat, htmltext, mixing, nearest, pii, rules, simhash
+from tablegate.llm import chat, htmltext, mixing, nearest, packing, pii, rules, simhash
 from tablegate.plans.registry import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,7 +112,7 @@ WITH usable AS (
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
   FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
 )
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id))::INTEGER AS rank, vec_id, score
@@ -123,6 +124,13 @@ def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_main_text(given(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op9_column_generation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(given(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
+
+
 QUERIES: dict[str, Query] = {
     "op1_block_nearest": op1_block_nearest,
     "op2_certified_rules": op2_certified_rules,
@@ -130,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash_components": op5_simhash_components,
     "op6_chat_examples": op6_chat_examples,
     "op8_page_text": op8_page_text,
+    "op9_column_generation_packing": op9_column_generation_packing,
     "op10_personal_data": op10_personal_data,
 }
 ORACLES: dict[str, str] = {
