@@ -15,6 +15,7 @@ import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from tablegate.llm.words import in_batches, rows_within, text_bytes
 
 SEQUENCE = 2048
 END_ID = 1
-CACHE_WORDS = 300_000  # words whose ids a Python worker keeps
+CACHE_WORDS = 400_000  # words whose ids a Python worker keeps
 SALTS = 64
 CLASS_STEP = 8  # tokens a length class is wide; half of it is lost per piece on average
 GAP = 1e-3  # the linear program stops within this share of its bound
@@ -137,41 +138,80 @@ def _first_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[Pat
     return patterns
 
 
-_TOKENIZERS: dict[str, object] = {}
-_CACHES: dict[str, dict[bytes, bytes]] = {}
+class WordIds:
+    """Ids of texts, word by word, with what was encoded before kept in bounded caches.
 
+    This vocabulary's tokenizer drops white space, lowers case and never joins
+    two words, nor letters with the signs after them. So a word's ids are
+    those of its letters and of the signs at its end, and many runs of letters
+    are encoded in one text, which ids of word ends cut up again. Words of
+    another make are encoded whole.
+    """
+
+    SIGNS = b".,!*#$%&;:?)"
+    JOINED = 32
 
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path], _CACHES[path] = Tokenizer.from_file(path), {}
-    return _TOKENIZERS[path], _CACHES[path]
-
-
-def token_bytes(raw: bytes, path: str) -> bytes:
-    """Little-endian unsigned 32-bit ids of a whole text.
-
-    This vocabulary's tokenizer drops white space and never joins two words,
-    so each word is encoded once and its ids are kept. Words are cut at ASCII
-    white space only; anything else is left to the tokenizer.
-    """
-    tokenizer, cache = _tokenizer(path)
-    words = raw.split()
-    try:
-        return b"".join([cache[word] for word in words])
-    except KeyError:
-        pass
-    missing = list({word for word in words if word not in cache})
-    if len(cache) + len(missing) > CACHE_WORDS:
-        cache.clear()
-        missing = list(set(words))
-    for low in range(0, len(missing), 4096):
-        some = missing[low : low + 4096]
-        encoded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-        cache.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(some, encoded, strict=True))
-    return b"".join([cache[word] for word in words])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.is_end[number] = token.endswith("</w>")
+
+    def encode(self, raw: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids of a whole text."""
+        # the marks of special tokens count in their own case only
+        words = (raw if b"<|" in raw else raw.lower()).split()
+        known = self.words
+        try:
+            return b"".join([known[word] for word in words])
+        except KeyError:
+            self._learn({word for word in words if word not in known}, words)
+        return b"".join([self.words[word] for word in words])
+
+    def _learn(self, missing: set[bytes], words: list[bytes]) -> None:
+        if len(self.words) + len(missing) > CACHE_WORDS:
+            self.words.clear()
+            missing = set(words)
+        if len(self.parts) + 2 * len(missing) > 2 * CACHE_WORDS:
+            self.parts = {b"": b""}
+        split = {}
+        for word in missing:
+            stem = word.rstrip(self.SIGNS)
+            split[word] = (stem, word[len(stem) :]) if stem.decode("utf-8", "replace").isalpha() else (word, b"")
+        unknown = {part for pair in split.values() for part in pair if part not in self.parts}
+        letters, others = [], []
+        for part in unknown:
+            text = part.decode("utf-8", "replace")
+            (letters if text.isalpha() else others).append((part, text))
+        groups = [letters[i : i + self.JOINED] for i in range(0, len(letters), self.JOINED)]
+        encoded = self._encoded([" ".join(text for _, text in group) for group in groups])
+        for group, ids in zip(groups, encoded, strict=True):
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(group):  # lowering a letter can give two words
+                others += group
+                continue
+            raw, cuts = ids.tobytes(), (4 * ends).tolist()
+            for (part, _), low, high in zip(group, [0, *cuts], cuts, strict=False):
+                self.parts[part] = raw[low:high]
+        for (part, _), ids in zip(others, self._encoded([text for _, text in others]), strict=True):
+            self.parts[part] = ids.tobytes()
+        self.words.update((word, self.parts[a] + self.parts[b]) for word, (a, b) in split.items())
+
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for low in range(0, len(texts), 1024):
+            for encoding in self.tokenizer.encode_batch_fast(texts[low : low + 1024], add_special_tokens=False):
+                yield np.array(encoding.ids, dtype="<u4")
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One per tokenizer file and Python worker."""
+    return WordIds(path)
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, id_column: str, text_column: str, sequence: int) -> DataFrame:
@@ -183,8 +223,9 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, id_column: str, text_column
     classes = length_classes(sequence)
 
     def pieces(rows: Iterator[tuple]) -> Iterator[tuple]:
+        ids_of = word_ids(tokenizer_path).encode
         for doc_id, raw in rows:
-            ids = token_bytes(raw, tokenizer_path) + end
+            ids = ids_of(raw) + end
             total = len(ids) // 4
             starts = list(range(0, total, sequence))
             if sequence // 2 < total - starts[-1] < sequence:
