@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import chat, htmltext, mixing, nearest, packing, pii, rules, simhash
+from tablegate.llm import chat, htmltext, mixing, nearest, packing, pii, quality, rules, simhash
 from tablegate.plans.registry import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,11 @@ def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_main_text(given(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.classify(docs, given(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -137,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_components": op5_simhash_components,
     "op6_chat_examples": op6_chat_examples,
+    "op7_random_indexing_quality": op7_random_indexing_quality,
     "op8_page_text": op8_page_text,
     "op9_column_generation_packing": op9_column_generation_packing,
     "op10_personal_data": op10_personal_data,
