@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import chat, htmltext, mixing, nearest, packing, pii, quality, rules, simhash
+from tablegate.llm import chat, htmltext, lm, mixing, nearest, packing, pii, quality, rules, simhash
 from tablegate.plans.registry import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +124,10 @@ def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_main_text(given(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op3_gated_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(given(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = given(spark, sf_dir, "documents", "doc_id", "text")
     return quality.classify(docs, given(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -139,6 +143,7 @@ def op9_column_generation_packing(spark: SparkSession, sf_dir: str) -> DataFrame
 QUERIES: dict[str, Query] = {
     "op1_block_nearest": op1_block_nearest,
     "op2_certified_rules": op2_certified_rules,
+    "op3_gated_language_model": op3_gated_language_model,
     "op4_source_mixing": op4_source_mixing,
     "op5_simhash_components": op5_simhash_components,
     "op6_chat_examples": op6_chat_examples,

@@ -252,3 +252,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         marked = marked.unionByName(apart.select(*marked.columns))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the one of the smallest id.
+
+    Of rows repeated under that id one stays. Rows without an id cannot be
+    named by a component and all stay. Columns are those of ``docs``.
+    """
+    ids = near_duplicates(docs, id_column, text_column).where("doc_id = component_id")
+    kept = stored(ids.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__times")))
+    columns = docs.columns
+    rows = docs.join(kept, F.col(id_column) == F.col("__kept"))
+    result = rows.where("__times = 1").select(*(f"`{c}`" for c in columns))
+    if kept.where("__times > 1").head(1):
+        repeated = rows.where("__times > 1").dropDuplicates(["__kept"])
+        result = result.unionByName(repeated.select(*(f"`{c}`" for c in columns)))
+    return result.unionByName(docs.where(F.col(id_column).isNull()))
