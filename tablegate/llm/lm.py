@@ -168,14 +168,27 @@ def train_round(docs: DataFrame, lexicon: Lexicon, weights: gru.Weights, round_n
 
 
 def _frequent(counts: DataFrame) -> tuple[list[tuple[bytes, int]], int, dict[int, tuple[int, int]]]:
-    """The ``KNOWN_WORDS`` most frequent words, the count of ends, and the words beyond them summed by class."""
+    """At most ``KNOWN_WORDS`` most frequent words, the count of ends, and the words beyond them summed by class.
+
+    A histogram of eighths of powers of two gives the least count that keeps
+    within the number, so tasks send the driver those words alone.
+    """
     words = counts.where(F.col("word") != F.lit(END_WORD))
-    top = [tuple(r) for r in words.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS).collect()]
     ends = counts.where(F.col("word") == F.lit(END_WORD)).first()
+    size = F.floor(8 * F.log2("c")).alias("size")
+    histogram = words.groupBy(size).agg(F.count("*").alias("n"), F.min("c").alias("least")).orderBy(F.desc("size"))
+    number, least, whole = 0, None, True
+    for row in histogram.collect():
+        number += row["n"]
+        if number > KNOWN_WORDS:
+            whole = False
+            break
+        least = row["least"]
+    top = [] if least is None else words.where(F.col("c") >= least).collect()
+    top = sorted(((bytes(w), c) for w, c in top), key=lambda entry: (-entry[1], entry[0]))
     rare: dict[int, tuple[int, int]] = {}
-    if len(top) == KNOWN_WORDS:
-        word, c = top[-1]
-        beyond = words.where((F.col("c") < c) | ((F.col("c") == c) & (F.col("word") > F.lit(bytes(word)))))
+    if not whole:
+        beyond = words if least is None else words.where(F.col("c") < least)
         schema = pa.schema([("class", pa.int32()), ("c", pa.int64()), ("number", pa.int64())])
 
         def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +200,7 @@ def _frequent(counts: DataFrame) -> tuple[list[tuple[bytes, int]], int, dict[int
         by_class = beyond.mapInArrow(classify, "class int, c long, number long")
         for row in by_class.groupBy("class").agg(F.sum("c").alias("c"), F.sum("number").alias("n")).collect():
             rare[row["class"]] = (row["c"], row["n"])
-    return [(bytes(w), c) for w, c in top], ends["c"] if ends else 0, rare
+    return top, ends["c"] if ends else 0, rare
 
 
 def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
