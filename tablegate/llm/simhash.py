@@ -263,7 +263,8 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     ids = near_duplicates(docs, id_column, text_column).where("doc_id = component_id")
     kept = stored(ids.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__times")))
     columns = docs.columns
-    rows = docs.join(kept, F.col(id_column) == F.col("__kept"))
+    # the ids grow with the documents: shuffled at every size, never broadcast
+    rows = docs.join(kept.hint("merge"), F.col(id_column) == F.col("__kept"))
     result = rows.where("__times = 1").select(*(f"`{c}`" for c in columns))
     if kept.where("__times > 1").head(1):
         repeated = rows.where("__times > 1").dropDuplicates(["__kept"])
