@@ -56,7 +56,8 @@ def require_type(df: DataFrame, column: str | int, dtype: T.DataType | str) -> C
     field = _field(df, column)
     wanted = T.DataType.fromDDL(dtype) if isinstance(dtype, str) else dtype
     same_kind = isinstance(wanted, T.ArrayType) and isinstance(field.dataType, T.ArrayType)
-    if field.dataType != wanted and not same_kind:
+    # nullability is no part of a type here
+    if field.dataType.simpleString() != wanted.simpleString() and not same_kind:
         raise ColumnTypeError(
             f"column {field.name} is {field.dataType.simpleString()}, not {wanted.simpleString()}"
         )

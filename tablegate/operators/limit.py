@@ -1,30 +1,33 @@
-"""Exact row limit that stays parallel for large counts."""
+"""Exact row limit, in one of two forms that the caller names."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ONE_TASK_ROWS = 100_000
 ROW_BITS = 33
 
 
-def limit_rows(df: DataFrame, count: int, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def limit_rows(df: DataFrame, count: int, in_place: bool = False) -> DataFrame:
     """Any ``count`` rows of ``df`` (all if it has fewer).
 
-    Spark's limit sends up to ``count`` rows of *every* partition through one
-    task. That is right for a small count, and lets the scan stop early. For
-    a large one the rows per partition are counted first; whole partitions up
-    to the cut-off are kept, and part of the one it falls in, where they are.
+    By default this is Spark's limit, for counts that one task can hold: a
+    last step stops the scan early, but with steps after it up to ``count``
+    rows of every partition come together in one task.
 
-    The large form reads the input twice and relies on both reads cutting it
-    into the same partitions, so ``df`` must be a scan with narrow steps on
-    top, over files that do not change in between.
+    ``in_place=True`` is for any larger count. Rows per partition are counted
+    first, over the whole input and when this is called; whole partitions up
+    to the cut-off are kept, and part of the one it falls in, where they are.
+    The input is read twice and both reads must cut it alike, so ``df`` must
+    be a scan with narrow steps on top, over files that do not change in
+    between.
     """
     if count < 0:
         raise ValueError("a row limit is not negative")
-    if count <= max(one_task_rows, 0):
+    if not in_place:
         return df.limit(count)
+    if count == 0:
+        return df.where(F.lit(False))
     # one row per partition: the number of tasks bounds what comes together here
     per_partition = df.groupBy(F.spark_partition_id().alias("part")).agg(
         F.count(F.lit(1)).alias("rows")

@@ -194,8 +194,8 @@ def stored_selection_stats(spark: SparkSession, spec: ReadSpec) -> StoredStats |
 
 
 def estimated_bytes(rows_read: Column, num_rows: Column, raw_size: Column) -> Column:
-    """Raw bytes a read of ``rows_read`` rows stands for, in proportion to the whole."""
-    return rows_read / num_rows.cast("double") * raw_size
+    """Raw bytes a read of ``rows_read`` rows stands for, in proportion to the whole; 0 of a table without rows."""
+    return F.when(num_rows == 0, F.lit(0.0)).otherwise(rows_read / num_rows.cast("double") * raw_size)
 
 
 def throughput_line(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.text import partition_path
 from tablegate.operators.access import (
     ID_ID_SIM,
     ID_ID_WEIGHT,
@@ -32,7 +33,7 @@ from tablegate.plans.registry import (
     query,
 )
 from tablegate.sinks.text import write_delimited, write_lines
-from tablegate.sources.partitions import list_files
+from tablegate.sources.partitions import NULL_PARTITION, list_files
 from tablegate.sources.partitions import list_partitions as partitions_of
 from tablegate.sources.tables import FormatGroup, read_mixed_formats, read_table
 from tablegate.sources.tables import read_profiles as profiles_of
@@ -258,7 +259,8 @@ def orders_two_widths(spark: SparkSession, sf_dir: str) -> str:
     """Path of ``orders`` by status where partition F lacks the priority column."""
     path = scratch_folder(spark)
     orders = given(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
-    old = F.col("o_orderstatus") == "F"
+    # a null status is no F: it stays with the others
+    old = F.col("o_orderstatus").eqNullSafe("F")
     orders.where(old).select("o_orderkey").write.parquet(f"{path}/ds=F")
     orders.where(~old).withColumnRenamed("o_orderstatus", "ds").hint("rebalance", "ds").write.mode(
         "append"
@@ -285,8 +287,8 @@ def orders_two_formats(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_folder(spark)
     orders = given(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
     orders = orders.withColumnRenamed("o_orderstatus", "ds")
-    write_delimited(orders.where("ds = 'F'").drop("ds"), f"{path}/ds=F", TAB_SEPARATED)
-    orders.where("ds <> 'F'").hint("rebalance", "ds").write.mode("append").partitionBy(
+    write_delimited(orders.where("ds <=> 'F'").drop("ds"), f"{path}/ds=F", TAB_SEPARATED)
+    orders.where("NOT (ds <=> 'F')").hint("rebalance", "ds").write.mode("append").partitionBy(
         "ds"
     ).parquet(path)
     return path
@@ -296,11 +298,15 @@ def orders_two_formats(spark: SparkSession, sf_dir: str) -> str:
 def mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = orders_two_formats(spark, sf_dir)
     data = T.DataType.fromDDL("o_orderkey bigint, o_custkey bigint")
+    spec = ReadSpec(path=path, schema=data, partition_keys=("ds",))
+    ds = F.col("ds")
+    folder = F.when(ds.isNull(), F.lit(f"ds={NULL_PARTITION}")).otherwise(partition_path({"ds": ds}))
+    listed = partitions_of(spark, spec).where("NOT (ds <=> 'F')")
+    others = tuple(f"{path}/{row[0]}" for row in listed.select(folder).collect())
     groups = [
         FormatGroup("delimited", (f"{path}/ds=F",), data, TAB_SEPARATED),
-        FormatGroup("parquet", (f"{path}/ds=O", f"{path}/ds=P"), data),
+        FormatGroup("parquet", others, data),
     ]
-    spec = ReadSpec(path=path, schema=data, partition_keys=("ds",))
     return read_mixed_formats(spark, path, groups, spec)
 
 
@@ -422,5 +428,5 @@ def tail_limit_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = ReadSpec(
         path=f"{sf_dir}/lineitem.parquet", columns=("l_orderkey", "l_partkey"), num_splits=16
     )
-    limited = limit_rows(read_table(spark, spec), 50_000, one_task_rows=10_000)
+    limited = limit_rows(read_table(spark, spec), 50_000, in_place=True)
     return format_lines(limited).agg(F.count(F.lit(1)).alias("num_rows"))

@@ -15,7 +15,6 @@ from tablegate.operators.stats import selection_stats as totals_of
 from tablegate.operators.stats import stored_stats as stored
 from tablegate.plans import jobs
 from tablegate.plans.registry import (
-    ORDER_STATUSES,
     events_by_day,
     given,
     orders_by_status,
@@ -23,6 +22,8 @@ from tablegate.plans.registry import (
 )
 from tablegate.plans.text_queries import CUSTOMER, customer_text
 from tablegate.sinks.text import append_statistics as append_lines
+from tablegate.sources.partitions import NULL_PARTITION
+from tablegate.sources.partitions import list_partitions as partitions_of
 from tablegate.sources.tables import read_table
 from tablegate.spec import TAB_SEPARATED, ReadSpec, quote_table
 from tablegate.workspace import scratch_folder
@@ -83,7 +84,8 @@ def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics kept in the catalog by ANALYZE, read back without a scan."""
     table = orders_by_status(spark, sf_dir)
     spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION (ds) COMPUTE STATISTICS")
-    rows = [(v, stored(spark, table, {"ds": v}).num_rows) for v in ORDER_STATUSES]
+    values = [row["ds"] for row in partitions_of(spark, ReadSpec(table=table)).collect()]
+    rows = [(v, stored(spark, table, {"ds": v or NULL_PARTITION}).num_rows) for v in values]
     return spark.createDataFrame(rows, "ds string, num_rows bigint")
 
 

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.widening import upgrade_to
 from tablegate.operators.observe import observe_rows
 from tablegate.sinks.checks import check_output
 from tablegate.sources.partitions import partition_clause
-from tablegate.spec import WriteSpec, quote_table
+from tablegate.spec import WriteSpec, quote_name, quote_table
 
 MAX_RECORDS_PER_FILE = "spark.sql.files.maxRecordsPerFile"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def write_table(
@@ -33,19 +36,61 @@ def write_table(
         rows = rows.repartition(spec.num_files)
     if observation is not None:
         rows = observe_rows(rows, observation)
-    mode = "OVERWRITE" if spec.replace_partition and values else "INTO"
-    clause = partition_clause(values) if values else ""
-    statement = f"INSERT {mode} {quote_table(spec.table)} {clause} SELECT * FROM {{rows}}"
-    if spec.max_records_per_file is None:
-        spark.sql(statement, rows=rows)
+    # {} marks a parameter of the statement, so braces of names and values are doubled
+    target_text = f"{quote_table(spec.table)} {partition_clause(values) if values else ''}"
+    insert = f"INTO {_literal(target_text)} SELECT * FROM {{rows}}"
+    if not (spec.replace_partition and values):
+        with _setting(spark, MAX_RECORDS_PER_FILE, spec.max_records_per_file):
+            spark.sql(f"INSERT {insert}", rows=rows)
         return
-    # the bound is a session setting: put it back whatever happens
-    before = spark.conf.get(MAX_RECORDS_PER_FILE)
-    spark.conf.set(MAX_RECORDS_PER_FILE, str(spec.max_records_per_file))
+    _replace_partition(spark, spec, values, rows)
+
+
+def _replace_partition(
+    spark: SparkSession, spec: WriteSpec, values: Mapping[str, str], rows: DataFrame
+) -> None:
+    """Swap one partition when the job commits; until then, and if it fails, the old rows stay.
+
+    Static overwriting deletes before it writes. Dynamic overwriting moves the
+    new files in at commit, but leaves a partition alone that gets no row; only
+    then, with nothing left to fail, is it emptied statically.
+    """
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    keyed = counted.select("*", *(F.lit(value).alias(key) for key, value in values.items()))
+    names = {key.lower(): key for key in keyed.columns}
+    order = [names[c.lower()] for c in spark.table(quote_table(spec.table)).columns]
+    with (
+        _setting(spark, MAX_RECORDS_PER_FILE, spec.max_records_per_file),
+        _setting(spark, OVERWRITE_MODE, "dynamic"),
+    ):
+        keyed.select(*(quote_name(c) for c in order)).write.mode("overwrite").insertInto(spec.table)
+    if not written.get["rows"]:
+        target = _literal(f"{quote_table(spec.table)} {partition_clause(values)}")
+        empty = spark.createDataFrame([], rows.schema)
+        spark.sql(f"INSERT OVERWRITE {target} SELECT * FROM {{rows}}", rows=empty)
+
+
+def _literal(text: str) -> str:
+    return text.replace("{", "{{").replace("}", "}}")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A session setting for one write, put back whatever happens; None leaves it alone.
+
+    Writes of one session that run side by side share its settings: give
+    each a session of its own if their bounds or modes differ.
+    """
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(value))
     try:
-        spark.sql(statement, rows=rows)
+        yield
     finally:
-        spark.conf.set(MAX_RECORDS_PER_FILE, before)
+        spark.conf.set(key, before)
 
 
 def write_profiles(

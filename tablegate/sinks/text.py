@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.encode import encode_line
+from tablegate.sources.delimited import LINE
 from tablegate.spec import DelimitedFormat, quote_name
 
 
@@ -29,7 +30,7 @@ def write_delimited(
     """
     data = T.StructType([f for f in df.schema.fields if f.name not in partition_keys])
     keys = [F.col(quote_name(key)) for key in partition_keys]
-    lines = df.select(encode_line(data, fmt, guard).alias("value"), *keys)
+    lines = df.select(encode_line(data, fmt, guard).alias(LINE), *keys)
     if partition_keys:
         lines = lines.hint("rebalance", *partition_keys)
     writer = lines.write.mode(mode).partitionBy(*partition_keys)

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tablegate.functions.decode import PARSE_MODES, checked, split_text, undecodable
 from tablegate.spec import DelimitedFormat, quote_name
 
-LINE = "value"
+# no partition key has this name
+LINE = "__line"
 FIELDS = "__fields"
 BAD = "__bad"
 

@@ -23,7 +23,9 @@ def check_partition_filter(spark: SparkSession, keys: Iterable[str], predicate:
     strings, so literals are quoted: ``ds = '2'``.
     """
     keys_only = T.StructType([T.StructField(key, T.StringType()) for key in keys])
-    spark.createDataFrame([], keys_only).where(predicate)
+    chosen = spark.createDataFrame([], keys_only).where(predicate)
+    if not chosen._jdf.queryExecution().analyzed().deterministic():
+        raise ValueError(f"a partition filter gives one answer per partition: {predicate}")
 
 
 def list_partitions(spark: SparkSession, spec: ReadSpec) -> DataFrame:

@@ -128,6 +128,8 @@ def session_with_splits(spark: SparkSession, num_splits: int) -> SparkSession:
     if num_splits < 1:
         raise ValueError("num_splits is at least 1")
     other = spark.newSession()
+    # a new session starts in the default database; a bare name must mean the same table in both
+    other.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     for key, value in spark.conf.getAll.items():
         if spark.conf.isModifiable(key):
             other.conf.set(key, value)

@@ -121,7 +121,7 @@ def test_large_limit_is_exact(spark, tmp_path_factory, count):
     path = str(tmp_path_factory.mktemp("limit") / "t")
     spark.range(1000).repartition(7).write.parquet(path)
     source = spark.read.parquet(path)
-    limited = limit_rows(source, count, one_task_rows=-1)
+    limited = limit_rows(source, count, in_place=True)
     ids = [r.id for r in limited.collect()]
     assert len(ids) == len(set(ids)) == min(count, 1000)
     assert limited.columns == ["id"]
@@ -133,4 +133,4 @@ def test_large_limit_is_exact(spark, tmp_path_factory, count):
 def test_negative_limit_is_refused(spark):
     with pytest.raises(ValueError, match="negative"):
         limit_rows(spark.range(1), -1)
-    assert limit_rows(spark.range(1), 0, one_task_rows=-1).count() == 0
+    assert limit_rows(spark.range(1), 0, in_place=True).count() == 0

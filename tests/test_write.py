@@ -15,7 +15,11 @@ from tablegate import (
 )
 from tablegate.functions.text import escape_path_value, partition_path, unescape_path_value
 from tablegate.functions.widening import WideningError
+from tablegate.plans import read_queries  # noqa: F401
+from tablegate.plans.registry import QUERIES, orders_by_status
 from tablegate.sinks.tables import MAX_RECORDS_PER_FILE
+from tablegate.sinks.text import write_delimited
+from tablegate.spec import TAB_SEPARATED
 
 NUMBER = itertools.count()
 SCHEMA = T.StructType().add("i1", T.IntegerType()).add("d1", T.DoubleType())
@@ -62,7 +66,7 @@ def test_round_trip_of_a_partition(spark, by_day, rows):
     ]
 
 
-@pytest.mark.parametrize("value", ["007", "a/b", "a=b", "100%", "it's", "back\\slash", 'q"', "a b"])
+@pytest.mark.parametrize("value", ["007", "a/b", "a=b", "100%", "it's", "back\\slash", 'q"', "a b", "a{b}", "{}"])
 def test_awkward_partition_values(spark, by_day, rows, value):
     write_table(rows, WriteSpec(by_day, {"ds": value}))
     assert {r[2] for r in contents(spark, by_day)} == {value}
@@ -114,12 +118,46 @@ def test_replacing_a_partition(spark, by_day, rows):
     assert len(contents(spark, by_day)) == 4
 
 
-def test_a_table_read_in_the_same_plan_is_not_replaced(spark, by_day, rows):
+def test_a_partition_can_be_replaced_from_itself(spark, by_day, rows):
     write_table(rows, WriteSpec(by_day, {"ds": "a"}))
-    same = read_table(spark, ReadSpec(table=by_day)).drop("ds")
-    with pytest.raises(Exception, match="OVERWRITE"):
-        write_table(same, WriteSpec(by_day, {"ds": "a"}, replace_partition=True))
-    assert len(contents(spark, by_day)) == 2
+    same = read_table(spark, ReadSpec(table=by_day)).drop("ds").where("i1 = 1")
+    write_table(same, WriteSpec(by_day, {"ds": "a"}, replace_partition=True))
+    assert contents(spark, by_day) == [(1, 1.1, "a")]
+
+
+def test_a_failed_replacement_keeps_the_old_rows(spark, by_day, rows):
+    for day in ("a", "b{}"):
+        write_table(rows, WriteSpec(by_day, {"ds": day}))
+    before = contents(spark, by_day)
+    bad = rows.withColumn("i1", F.raise_error(F.lit("boom")).cast("int"))
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, WriteSpec(by_day, {"ds": "a"}, replace_partition=True))
+    assert contents(spark, by_day) == before
+    write_table(rows.limit(0), WriteSpec(by_day, {"ds": "b{}"}, replace_partition=True))
+    assert {r[2] for r in contents(spark, by_day)} == {"a"}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+@pytest.mark.parametrize("key", ["value", "ds"])
+def test_text_with_any_key_name(spark, rows, tmp_path, key):
+    path = str(tmp_path / "t")
+    write_delimited(rows.withColumn(key, F.lit("k")), path, TAB_SEPARATED, partition_keys=(key,))
+    spec = ReadSpec(path=path, format="delimited", delimited=TAB_SEPARATED, schema=SCHEMA, partition_keys=(key,))
+    assert sorted(map(tuple, read_table(spark, spec).collect())) == [(1, 1.1, "k"), (2, 2.2, "k")]
+
+
+def test_rows_of_any_status_are_laid_out(spark, tmp_path):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    status = F.when(F.col("o_orderkey") % 3 == 0, None).when(F.col("o_orderkey") % 5 == 0, "X")
+    kept = F.when((F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") % 5 == 0), status)
+    odd = orders.withColumn("o_orderstatus", kept.otherwise(F.col("o_orderstatus")))
+    odd.write.parquet(f"{tmp_path}/orders.parquet")
+    for query in ("table_schema", "added_column", "mixed_formats"):
+        assert QUERIES[query](spark, str(tmp_path)).count() > 0
+    for query in ("added_column", "mixed_formats"):
+        found = QUERIES[query](spark, str(tmp_path)).groupBy("ds").count().collect()
+        assert sorted(map(tuple, found), key=str) == sorted(map(tuple, odd.groupBy("o_orderstatus").count().collect()), key=str)
+    assert read_table(spark, ReadSpec(table=orders_by_status(spark, str(tmp_path)))).count() == orders.count()
 
 
 def test_failed_write_leaves_nothing(spark, by_day, rows):
