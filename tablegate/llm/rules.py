@@ -1,19 +1,22 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-A rule rejects a text whose measure exceeds its cutoff. Per stratum, cutoffs
-are tried from loose to strict on a labelled holdout; a cutoff counts as
-certified if an exact binomial test bounds the share of good documents it
-rejects. Bonferroni over strata and rules, and the fixed order of trials
-within a rule, keep all certificates right together with the confidence asked
-for. Of the certified cutoffs the one that rejects most bad documents of the
-other labelled half is taken; without a certificate the rule rejects nothing.
+A rule rejects a text whose measure exceeds its cutoff. A fifth of the
+labelled documents chooses a path: one cutoff after the other is tightened,
+each time the one that costs the fewest good documents per bad one. The other
+labels certify it, stratum by stratum: from the loosest step on, an exact
+binomial test bounds the share of good documents that all rules together
+reject, and the first step without a certificate ends the walk. The path is
+fixed before the certifying labels are seen, so the steps of a stratum need no
+correction among each other; Bonferroni over the strata keeps all certificates
+right together with the confidence asked for. Without a certificate a
+stratum's rules reject nothing.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,7 +30,7 @@ MOST_REPEATED = 50  # percent of the words
 STRATA = ("en", "fr", "de", "es")
 ALPHA = 0.02  # share of good documents that all rules together may reject in a stratum
 DELTA = 0.05  # chance that any certificate of any stratum is wrong
-HOLDOUT_SHARE = 2  # ids whose crc32 mod this is 0 only choose, the others certify
+CHOOSE_EVERY = 5  # ids whose crc32 mod this is 0 choose the path, the others certify
 
 # Cutoffs of each measure from loose to strict: part of the rule, not learned.
 GRIDS = {
@@ -134,37 +137,78 @@ def rejects_at_most(rejected: int, good: int, alpha: float, delta: float) -> boo
     return True
 
 
+Levels = tuple[int, ...]
+
+
+def level(measure: Column, grid: tuple[float, ...]) -> Column:
+    """Place of the loosest cutoff that rejects, the number of cutoffs if none does."""
+    return F.lit(len(grid)) - F.size(F.filter(F.array(*(F.lit(cutoff) for cutoff in grid)), lambda c: measure > c))
+
+
+def rejected(counts: Mapping[Levels, int], setting: Levels) -> int:
+    """How many of the counted documents any rule rejects; a setting is the number of cutoffs in use per rule."""
+    return sum(n for levels, n in counts.items() if any(at < used for at, used in zip(levels, setting, strict=True)))
+
+
+def choose_path(good: Mapping[Levels, int], bad: Mapping[Levels, int]) -> list[Levels]:
+    """Settings from loose to strict; each tightens one rule where that costs the fewest good documents per bad one.
+
+    Ties go to the step that rejects more, then to the earlier rule, then to
+    the looser cutoff. It ends when no step rejects more bad documents than
+    good ones.
+    """
+    sizes = [len(grid) for grid in GRIDS.values()]
+    setting, path = (0,) * len(sizes), []
+    while True:
+        lost, caught = rejected(good, setting), rejected(bad, setting)
+        steps = []
+        for rule, size in enumerate(sizes):
+            for used in range(setting[rule] + 1, size + 1):
+                tried = (*setting[:rule], used, *setting[rule + 1 :])
+                gain, cost = rejected(bad, tried) - caught, rejected(good, tried) - lost
+                if gain > cost:
+                    steps.append((cost / gain, -gain, rule, used, tried))
+        if not steps:
+            return path
+        setting = min(steps)[-1]
+        path.append(setting)
+
+
 def certified_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[int, str], float]:
     """Cutoff of every stratum and rule that has a certificate.
 
     Reads all labelled documents that pass the base rules. What reaches the
-    driver is one row per stratum with a fixed number of counts. An id that is
-    labelled good and bad counts as good, one labelled twice counts once.
+    driver is one count per stratum, half, label and combination of levels:
+    bounded by the grids, whatever the input. An id that is labelled good and
+    bad counts as good, one labelled twice counts once.
     """
     marked = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-        .agg(F.max("quality").alias("quality"))
+        .agg(F.max("quality").cast("int").alias("quality"))
     )
     known = counts.where(~base_failed()).join(marked, "doc_id")
-    chosen = fold(F.col("doc_id"), HOLDOUT_SHARE) == 0
-    good, bad = ~chosen & (F.col("quality") == 1), chosen & (F.col("quality") == 0)
-    sums = [F.count_if(good).alias("good")]
-    for rule, measure in measures().items():
-        for i, cutoff in enumerate(GRIDS[rule]):
-            sums.append(F.count_if(good & (measure > cutoff)).alias(f"good_{rule}_{i}"))
-            sums.append(F.count_if(bad & (measure > cutoff)).alias(f"bad_{rule}_{i}"))
+    levels = [level(measure, GRIDS[rule]).alias(rule) for rule, measure in measures().items()]
+    chooses = (fold(F.col("doc_id"), CHOOSE_EVERY) == 0).alias("chooses")
+    grouped = known.select("stratum", "quality", chooses, *levels).groupBy("stratum", "quality", "chooses", *GRIDS)
+    choosing: dict[int, Counter[Levels]] = {0: Counter(), 1: Counter()}
+    certifying: dict[int, Counter[Levels]] = {}
+    for row in grouped.agg(F.count("*").alias("n")).collect():
+        places = tuple(row[rule] for rule in GRIDS)
+        if row["chooses"] and row["quality"] in choosing:
+            choosing[row["quality"]][places] += row["n"]
+        elif not row["chooses"] and row["quality"] == 1:
+            certifying.setdefault(row["stratum"], Counter())[places] += row["n"]
+    path = choose_path(choosing[1], choosing[0])
+    doubt = delta / (len(STRATA) + 1)
     cutoffs: dict[tuple[int, str], float] = {}
-    share, doubt = alpha / len(GRIDS), delta / (len(GRIDS) * (len(STRATA) + 1))
-    for row in known.groupBy("stratum").agg(*sums).collect():
-        for rule, grid in GRIDS.items():
-            most = 0
-            for i, cutoff in enumerate(grid):
-                if not rejects_at_most(row[f"good_{rule}_{i}"], row["good"], share, doubt):
-                    break
-                if row[f"bad_{rule}_{i}"] > most:
-                    most = row[f"bad_{rule}_{i}"]
-                    cutoffs[row["stratum"], rule] = cutoff
+    for stratum, good in certifying.items():
+        for setting in path:
+            if not rejects_at_most(rejected(good, setting), good.total(), alpha, doubt):
+                break
+            for (rule, grid), used in zip(GRIDS.items(), setting, strict=True):
+                if used:
+                    cutoffs[stratum, rule] = grid[used - 1]
     return cutoffs
 
 
@@ -191,6 +235,6 @@ def apply_rules(
         F.when((F.col("stratum") == stratum) & (values[rule] > cutoff), F.lit(rule))
         for (stratum, rule), cutoff in sorted(cutoffs.items())
     ]
-    rejected = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-    judged = counts.withColumn("base_failed", base_failed()).withColumn("rejected_by", rejected)
+    reasons = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    judged = counts.withColumn("base_failed", base_failed()).withColumn("rejected_by", reasons)
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
