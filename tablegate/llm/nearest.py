@@ -123,9 +123,10 @@ def nearest_neighbours(
     smallest vector searches; repeated candidate rows are each returned. An
     empty table gives no rows; other columns are not read.
 
-    Queries and candidates are dealt in turn into blocks of a fixed number of
-    bytes; each pair of blocks is one group of a cogroup, so a task holds two
-    blocks. ``is_query`` is a condition on ``id_column``.
+    Queries are dealt by id and candidates in turn into blocks of a fixed
+    number of bytes on average; each pair of blocks is one group of a cogroup,
+    so a task holds two blocks. ``is_query`` is a condition on ``id_column``,
+    ``vectors`` a scan or a frame whose rows keep their order.
     """
     kind = vectors.schema[vector_column].dataType.simpleString()
     rows = vectors.where(usable(F.col(vector_column)) & F.col(id_column).isNotNull()).select(
@@ -139,10 +140,12 @@ def nearest_neighbours(
     cores = vectors.sparkSession.sparkContext.defaultParallelism
     right_blocks = max(1, -(-total // BLOCK_BYTES), min(cores, total // (BLOCK_BYTES // 16)))
     left_blocks = max(1, -(-asked // BLOCK_BYTES))
-    turn = F.monotonically_increasing_id()
-    left = queries.withColumn("q", F.pmod(turn, F.lit(left_blocks))).withColumn(
+    # by id, since the order of aggregated rows may differ when a lost task is repeated
+    left = queries.withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(left_blocks))).withColumn(
         "c", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)))
     )
+    # in turn, since many rows may share an id; the order of a scan is fixed
+    turn = F.monotonically_increasing_id()
     right = rows.withColumn("c", F.pmod(turn, F.lit(right_blocks))).withColumn(
         "q", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)))
     )
