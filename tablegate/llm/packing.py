@@ -28,7 +28,8 @@ from tablegate.llm.words import in_batches, rows_within, text_bytes
 SEQUENCE = 2048
 END_ID = 1
 CACHE_WORDS = 400_000  # words whose ids a Python worker keeps
-SALTS = 64
+LEAST_SALTS = 64
+SALT_PIECES = 1_000_000  # pieces of all classes that one salt stands for
 CLASS_STEP = 8  # tokens a length class is wide; half of it is lost per piece on average
 GAP = 1e-3  # the linear program stops within this share of its bound
 STEPS = 4000  # pivots at most; every basis on the way is a valid packing
@@ -266,18 +267,18 @@ def pack(
     A null or empty text is its end id alone; repeated rows are packed one by
     one; an empty table gives no rows; other columns are not read. The driver
     sees one count per length class. Ranks within a class are counted in
-    salted groups and shifted by the groups before them, so a class with most
-    pieces is no single task's work.
+    salted groups, more of them for more pieces, and shifted by the groups
+    before them, so a class with most pieces is no single task's work.
     """
     spark = docs.sparkSession
     cut = cut_pieces(docs, tokenizer_path, id_column, text_column, sequence)
     pieces = stored(cut.withColumn("row", F.monotonically_increasing_id()))
-    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    histogram = {r["size_class"]: r["n"] for r in pieces.groupBy("size_class").agg(F.count("*").alias("n")).collect()}
+    salts = max(LEAST_SALTS, sum(histogram.values()) // SALT_PIECES)
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
     counts = pieces.groupBy("size_class", "salt").agg(F.count("*").alias("n"))
-    # at most (length classes) x SALTS rows, whatever the input
     before = Window.partitionBy("size_class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select("size_class", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
-    histogram = {r["size_class"]: r["n"] for r in counts.groupBy("size_class").agg(F.sum("n").alias("n")).collect()}
     classes = length_classes(sequence)
     present = sorted(histogram)
     patterns = solve([classes[c] for c in present], [histogram[c] for c in present], sequence)
@@ -288,7 +289,7 @@ def pack(
     within = Window.partitionBy("size_class", "salt").orderBy("row")
     ranked = (
         pieces.withColumn("turn", F.row_number().over(within) - 1)
-        .join(F.broadcast(shifts), ["size_class", "salt"])
+        .join(shifts, ["size_class", "salt"])
         .withColumn("rank", F.col("turn") + F.col("shift"))
     )
     dealt = ranked.join(F.broadcast(plan), "size_class").where(F.col("rank").between(F.col("first"), F.col("last")))
