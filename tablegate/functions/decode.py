@@ -92,7 +92,28 @@ def decode_float(text: Column, dtype: T.DataType) -> Column:
 def _decode_list(present: Column, dtype: T.ArrayType, fmt: DelimitedFormat, level: int) -> Column:
     items = split_text(present, fmt.separator(level))
     decoded = F.transform(items, lambda e: decode(e, dtype.elementType, fmt, level + 1))
-    return F.when(present == "", F.array().cast(dtype)).otherwise(decoded)
+    value = F.when(present == "", F.array().cast(dtype))
+    plain = _plain_list(present, dtype.elementType, fmt, level)
+    if plain is not None:
+        value = value.when(plain, items.try_cast(dtype))
+    return value.otherwise(decoded)
+
+
+def _plain_list(present: Column, element: T.DataType, fmt: DelimitedFormat, level: int) -> Column | None:
+    """True where one cast of all items gives what decoding each of them does; None if no such test exists.
+
+    Numbers: the field has signs, digits and separators only (for floats also
+    dots and exponents), so no blank, control character or word can reach the
+    cast. Strings: no item can be the null text.
+    """
+    separator = "\\" + fmt.separator(level) if fmt.separator(level).isascii() and not fmt.separator(level).isalnum() else fmt.separator(level)
+    if is_integer(element):
+        return present.rlike(rf"^[0-9+\-{separator}]*+\z")
+    if is_floating_point(element):
+        return present.rlike(rf"^[0-9+\-.eE{separator}]*+\z")
+    if isinstance(element, T.StringType) and fmt.null_text:
+        return ~present.contains(fmt.null_text)
+    return None
 
 
 def _decode_map(present: Column, dtype: T.MapType, fmt: DelimitedFormat, level: int) -> Column:

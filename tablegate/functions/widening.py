@@ -69,7 +69,8 @@ def widen(value: Column, source: T.DataType, target: T.DataType) -> Column:
         raise WideningError(
             f"cannot store {source.simpleString()} in a {target.simpleString()} column"
         )
-    if source == target:
+    # nullability is no part of a type here: a collection of the same types passes as it is
+    if source.simpleString() == target.simpleString():
         return value
     if isinstance(target, T.StructType) and isinstance(source, T.MapType):
         fields = [
@@ -93,7 +94,7 @@ def widen(value: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.ArrayType):
         return F.transform(value, lambda e: widen(e, source.elementType, target.elementType))
     if isinstance(target, T.MapType):
-        if source.keyType != target.keyType:
+        if source.keyType.simpleString() != target.keyType.simpleString():
             # two bigint keys may meet in one float key: the first one stays
             return _widen_map_with_keys(value, source, target)
         return F.transform_values(

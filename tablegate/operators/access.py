@@ -44,6 +44,9 @@ NULL_SENTINELS = {
 }
 
 
+NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+
+
 class ColumnTypeError(TypeError):
     """A column whose declared type is not the one asked for."""
 
@@ -67,7 +70,8 @@ def require_type(df: DataFrame, column: str | int, dtype: T.DataType | str) -> C
 def get_map(df: DataFrame, column: str | int) -> Column:
     """A map or struct column as a map.
 
-    Struct fields of one type keep it; fields of different types become text.
+    Struct fields of one type keep it; fields of different types become text:
+    plain ones as a cast prints them, nested ones as JSON.
     """
     field = _field(df, column)
     value = df[quote_name(field.name)]
@@ -79,7 +83,10 @@ def get_map(df: DataFrame, column: str | int) -> Column:
         )
     members = field.dataType.fields
     if len({member.dataType.simpleString() for member in members}) > 1:
-        return F.from_json(F.to_json(value, {"ignoreNullFields": "false"}), "map<string,string>")
+        if any(isinstance(member.dataType, NESTED) for member in members):
+            return F.from_json(F.to_json(value, {"ignoreNullFields": "false"}), "map<string,string>")
+        texts = [part for m in members for part in (F.lit(m.name), value[m.name].cast("string"))]
+        return F.when(value.isNotNull(), F.create_map(*texts))
     pairs = [part for m in members for part in (F.lit(m.name), value[m.name])]
     return F.when(value.isNotNull(), F.create_map(*pairs))
 

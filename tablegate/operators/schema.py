@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tablegate.functions.kinds import kind_or_type_name
-from tablegate.spec import ReadSpec
+from tablegate.spec import ReadSpec, qualified_name
 
 SCHEMA_COLUMNS = "position int, name string, kind string, is_partition boolean"
 
@@ -82,7 +82,7 @@ def catalog_schema(spark: SparkSession, table: str) -> TableSchema:
 def table_schema(spark: SparkSession, source: str | ReadSpec) -> TableSchema:
     """Schema of a catalog table, or of what a :class:`ReadSpec` describes."""
     if isinstance(source, str):
-        return catalog_schema(spark, source)
+        return catalog_schema(spark, qualified_name(source))
     if source.table is not None:
         return catalog_schema(spark, source.table)
     data = source.schema

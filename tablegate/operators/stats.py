@@ -21,7 +21,7 @@ from tablegate.sources.partitions import (
     partition_clause,
 )
 from tablegate.sources.tables import choose_partitions, open_table
-from tablegate.spec import ReadSpec, quote_name, quote_table
+from tablegate.spec import ReadSpec, qualified_name, quote_name, quote_table
 
 # Bytes a value of a fixed-width kind counts for.
 FIXED_WIDTHS = {
@@ -88,8 +88,9 @@ def partition_stats(
     Raw size covers the columns of ``spec`` (all data columns if none are
     named); for delimited text it is that of the lines. Rows are first added
     up per file, which spreads a partition of any size over many groups; what
-    then comes together is one row per file. A file without rows is not
-    counted.
+    then comes together is one row per file. Every selected partition has a
+    row, also one without rows. Files of a path are counted from the listing;
+    of a catalog table, files that hold rows are.
     """
     schema, scan = open_table(spark, spec)
     rows = choose_partitions(spark, scan, schema, spec.partition_filter)
@@ -102,17 +103,36 @@ def partition_stats(
         row_size(rows, measured).alias("__bytes"),
     )
     grouping = list(schema.partition_keys) if by_partition else []
-    per_file = sized.groupBy(*grouping, "__file").agg(
+    per_file = sized.groupBy(*map(quote_name, grouping), "__file").agg(
         F.count(F.lit(1)).alias("__rows"),
         F.sum("__bytes").alias("__bytes"),
         F.max("__file_size").alias("__file_size"),
     )
-    return per_file.groupBy(*grouping).agg(
+    measured_stats = per_file.groupBy(*map(quote_name, grouping)).agg(
         F.count(F.lit(1)).alias("num_files"),
         F.sum("__rows").alias("num_rows"),
         F.sum("__bytes").alias("raw_size"),
         F.sum("__file_size").alias("total_size"),
     )
+    if not grouping:
+        return measured_stats
+    if spec.table is not None:
+        return _with_all(list_partitions(spark, spec), measured_stats, grouping, COUNTED)
+    return _with_all(file_stats(spark, spec), measured_stats.drop(*LISTED), grouping, COUNTED[1:3])
+
+
+LISTED = ("num_files", "total_size")
+COUNTED = ("num_files", "num_rows", "raw_size", "total_size")
+
+
+def _with_all(partitions: DataFrame, found: DataFrame, keys: list[str], numbers: tuple[str, ...]) -> DataFrame:
+    """One row per listed partition; numbers that ``found`` lacks are 0. Both sides have one row per partition."""
+    named = found.withColumnsRenamed({key: f"__{key}" for key in keys})
+    same = [partitions[quote_name(key)].eqNullSafe(named[quote_name(f"__{key}")]) for key in keys]
+    joined = partitions.join(named, same, "left")
+    zero = F.lit(0).cast("long")
+    filled = joined.withColumns({name: F.coalesce(F.col(name), zero) for name in numbers})
+    return filled.select(*map(quote_name, keys), *COUNTED)
 
 
 def selection_stats(spark: SparkSession, spec: ReadSpec) -> DataFrame:
@@ -137,7 +157,7 @@ def file_stats(spark: SparkSession, spec: ReadSpec) -> DataFrame:
     if spec.partition_filter and keys:
         check_partition_filter(spark, keys, spec.partition_filter)
         files = files.where(spec.partition_filter)
-    return files.groupBy(*keys).agg(
+    return files.groupBy(*map(quote_name, keys)).agg(
         F.count(F.lit(1)).alias("num_files"), F.sum("file_size").alias("total_size")
     )
 
@@ -162,6 +182,7 @@ def stored_stats(
 ) -> StoredStats | None:
     """What the catalog knows about a table or one partition; no scan. None if nothing."""
     clause = ""
+    table = qualified_name(table)
     if partition:
         keys = table_schema(spark, table).partition_keys
         clause = partition_clause(match_partition_spec(keys, partition))

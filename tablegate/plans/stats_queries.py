@@ -15,8 +15,10 @@ from tablegate.operators.stats import selection_stats as totals_of
 from tablegate.operators.stats import stored_stats as stored
 from tablegate.plans import jobs
 from tablegate.plans.registry import (
+    create_table,
     events_by_day,
     given,
+    layout,
     orders_by_status,
     query,
 )
@@ -41,6 +43,41 @@ def partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats_of(spark, spec).select("ds", "num_rows", "raw_size")
 
 
+@layout
+def customers_by_nation(spark: SparkSession, sf_dir: str) -> str:
+    """Catalog table of ``customer`` with the nation as an INT partition key, and one partition without rows."""
+    rows = given(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    columns = "c_custkey BIGINT, nation INT"
+    table = create_table(spark, "customers_by_nation", columns, using="parquet PARTITIONED BY (nation)")
+    rows.hint("rebalance", "c_nationkey").write.insertInto(table)
+    spark.sql(f"ALTER TABLE {quote_table(table)} ADD PARTITION (nation = -1)")
+    return table
+
+
+@query(
+    """SELECT CAST(c_nationkey AS VARCHAR) AS nation, count(*) AS num_rows,
+              CAST(8 * count(c_custkey) AS BIGINT) AS raw_size FROM customer GROUP BY 1
+       UNION ALL SELECT '-1', 0, 0"""
+)
+def empty_partition_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition without rows has its line of statistics too."""
+    return stats_of(spark, ReadSpec(table=customers_by_nation(spark, sf_dir))).select("nation", "num_rows", "raw_size")
+
+
+@query(
+    """SELECT CAST(c_nationkey AS VARCHAR) AS nation, count(*) AS num_rows FROM customer
+       WHERE CAST(c_nationkey AS VARCHAR) < '2' OR CAST(c_nationkey AS VARCHAR) = '9' GROUP BY 1
+       UNION ALL SELECT '-1', 0"""
+)
+def filter_compares_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One meaning of a filter on an INT key: '10' comes before '2' for the listing and the read alike."""
+    spec = ReadSpec(table=customers_by_nation(spark, sf_dir), partition_filter="nation < '2' OR nation = '9'")
+    read = read_table(spark, spec).groupBy(F.col("nation").alias("read")).agg(F.count(F.lit(1)).alias("n"))
+    listed = partitions_of(spark, spec)
+    joined = listed.join(read, listed["nation"].eqNullSafe(read["read"]), "full")
+    return joined.select("nation", F.coalesce("n", F.lit(0).cast("long")).alias("num_rows"))
+
+
 @query(
     """SELECT count(*) AS num_rows, sum(length(o_orderpriority)) / 1e6 AS raw_mb FROM orders
        WHERE o_orderstatus IN ('F','O')"""

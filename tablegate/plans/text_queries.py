@@ -46,6 +46,17 @@ def text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _text(customer_text(spark, sf_dir), CUSTOMER))
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus AS value FROM orders")
+def text_key_named_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited text whose partition key has the name that Spark gives a text line."""
+    path = scratch_folder(spark)
+    orders = given(spark, sf_dir, "orders", "o_orderkey", "o_totalprice", "o_orderstatus")
+    rows = orders.withColumnRenamed("o_orderstatus", "value")
+    write_delimited(rows, path, TAB_SEPARATED, partition_keys=("value",))
+    schema = "o_orderkey bigint, o_totalprice double"
+    return read_table(spark, _text(path, schema, partition_keys=("value",)))
+
+
 @query("SELECT c_nationkey, c_custkey FROM customer")
 def text_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _text(customer_text(spark, sf_dir), CUSTOMER, columns=("c_nationkey", "c_custkey"))

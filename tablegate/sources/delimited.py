@@ -28,6 +28,8 @@ def decode_lines(
 ) -> DataFrame:
     """Rows of ``schema`` from a frame with one text line per row.
 
+    The line is the column of :func:`read_lines`, or ``value`` as Spark's own
+    text reader calls it.
     ``columns`` picks and orders the data columns (all if empty); ``keep``
     passes other columns of ``lines`` through behind them. A field past the
     end of a short line is null, surplus fields are ignored. Splitting stops
@@ -46,7 +48,8 @@ def decode_lines(
     last = max(positions.values())
     limit = last + 2 if last + 1 < len(schema.names) else -1
     kept = [F.col(quote_name(name)) for name in keep]
-    split = lines.select(split_text(F.col(LINE), fmt.separator(0), limit).alias(FIELDS), *kept)
+    line = F.col(LINE if LINE in lines.columns else "value")
+    split = lines.select(split_text(line, fmt.separator(0), limit).alias(FIELDS), *kept)
     texts = {name: F.get(F.col(FIELDS), F.lit(i)) for name, i in positions.items()}
     return _decode(split, texts, schema, fmt, kept, on_bad, observation)
 

@@ -51,7 +51,7 @@ def list_partitions(spark: SparkSession, spec: ReadSpec) -> DataFrame:
             )
         )
     else:
-        partitions = list_files(spark, spec.path, keys).select(*keys).distinct()
+        partitions = list_files(spark, spec.path, keys).select(*map(quote_name, keys)).distinct()
     if spec.partition_filter:
         check_partition_filter(spark, keys, spec.partition_filter)
         partitions = partitions.where(spec.partition_filter)
@@ -76,7 +76,7 @@ def list_files(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> Data
     )
     files = spark.read.format("binaryFile").schema(schema).load(path)
     return files.coalesce(spark.sparkContext.defaultParallelism).select(
-        *keys, F.col("path").alias("file_path"), F.col("length").alias("file_size")
+        *map(quote_name, keys), F.col("path").alias("file_path"), F.col("length").alias("file_size")
     )
 
 

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.text import unescape_path_value
 from tablegate.operators.observe import observe_rows
 from tablegate.operators.schema import TableSchema, UnknownColumnError, table_schema
 from tablegate.session import tune_session
 from tablegate.sources.delimited import decode_columns, decode_lines, read_lines
-from tablegate.sources.partitions import check_partition_filter
+from tablegate.sources.partitions import NULL_PARTITION, check_partition_filter, list_partitions
 from tablegate.spec import DelimitedFormat, ReadSpec, quote_name
 
 
@@ -111,11 +112,17 @@ def wanted_order(spec: ReadSpec, data: list[str], keys: list[str]) -> list[str]:
 def choose_partitions(
     spark: SparkSession, rows: DataFrame, schema: TableSchema, predicate: str | None
 ) -> DataFrame:
-    """Apply a partition predicate, checked to touch partition keys only."""
+    """Apply a partition predicate, checked to touch partition keys only.
+
+    Keys are compared as strings, whatever type the catalog gives them, so a
+    read, a listing and statistics choose alike; the cast key still prunes.
+    """
     if not predicate or not schema.partition_keys:
         return rows
     check_partition_filter(spark, schema.partition_keys, predicate)
-    return rows.where(predicate)
+    typed = [f.name for f in rows.schema if f.name in schema.partition_keys and not isinstance(f.dataType, T.StringType)]
+    texts = {key: F.col(quote_name(key)).cast("string") for key in typed}
+    return (rows.withColumns(texts) if texts else rows).where(predicate)
 
 
 def session_with_splits(spark: SparkSession, num_splits: int) -> SparkSession:
@@ -156,15 +163,43 @@ class FormatGroup:
     delimited: DelimitedFormat | None = None
 
 
+def check_covered(
+    spark: SparkSession,
+    base_path: str,
+    groups: Iterable[FormatGroup],
+    keys: tuple[str, ...],
+    partition_filter: str | None = None,
+) -> None:
+    """Raise if a selected partition under ``base_path`` belongs to no group."""
+    if not keys:
+        return
+    folders = [path.rstrip("/").split("/")[-len(keys) :] for group in groups for path in group.paths]
+    texts = T.StructType([T.StructField(f"__{i}", T.StringType()) for i in range(len(keys))])
+    named = spark.createDataFrame([[f.partition("=")[2] for f in folder] for folder in folders], texts)
+    named = named.select(
+        *(F.nullif(unescape_path_value(F.col(name)), F.lit(NULL_PARTITION)).alias(name) for name in texts.names)
+    )
+    found = list_partitions(
+        spark, ReadSpec(path=base_path, schema=T.StructType(), partition_keys=keys, partition_filter=partition_filter)
+    )
+    same = [found[quote_name(key)].eqNullSafe(named[name]) for key, name in zip(keys, texts.names, strict=True)]
+    left_out = found.join(named, same, "left_anti").first()
+    if left_out is not None:
+        raise ValueError(f"no format is given for partition {left_out.asDict()} of {base_path}")
+
+
 def read_mixed_formats(
     spark: SparkSession, base_path: str, groups: Iterable[FormatGroup], spec: ReadSpec
 ) -> DataFrame:
     """A table whose partitions are stored in different formats.
 
     One scan per format, not per partition; ``spec`` gives the table's schema,
-    keys, columns and filter. Columns a group does not have are null.
+    keys, columns and filter. Columns a group does not have are null. A
+    partition with files that no group names is an error, not left out.
     """
     schema = table_schema(spark, replace(spec, path=base_path, table=None))
+    groups = list(groups)
+    check_covered(spark, base_path, groups, schema.partition_keys, spec.partition_filter)
     data, keys = output_columns(schema, spec.columns)
     scans = []
     for group in groups:

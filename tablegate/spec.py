@@ -76,7 +76,8 @@ class ReadSpec:
     splits. ``text_columns`` says that the files are columnar but hold every
     data column as text, which is decoded to the types of ``schema`` by the
     rules for delimited text. ``skip_unreadable`` reads past corrupt or
-    vanished files.
+    vanished files. A bare table name means database ``default``, whatever
+    database is current; a temporary view is no table.
     """
 
     table: str | None = None
@@ -96,6 +97,8 @@ class ReadSpec:
     def __post_init__(self) -> None:
         if (self.table is None) == (self.path is None):
             raise ValueError("give exactly one of table and path")
+        if self.table is not None:
+            object.__setattr__(self, "table", qualified_name(self.table))
         if self.format == "delimited" and (self.schema is None or self.path is None):
             raise ValueError("delimited text needs a schema and a path")
         if self.text_columns and (self.schema is None or self.format == "delimited"):
@@ -106,6 +109,7 @@ class ReadSpec:
 class WriteSpec:
     """A catalog table to write to, with the value of every partition key.
 
+    A bare table name means database ``default``, as on a read.
     ``replace_partition`` swaps out an existing partition at commit.
     ``num_files`` is the number of parallel writers (each writes its own
     file); ``max_records_per_file`` starts a new file after that many rows.
@@ -116,3 +120,6 @@ class WriteSpec:
     replace_partition: bool = False
     num_files: int | None = None
     max_records_per_file: int | None = None
+
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "table", qualified_name(self.table))

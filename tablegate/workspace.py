@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,8 @@ def scratch_folder(spark: SparkSession) -> str:
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        # not local-cluster, whose executors are processes of their own
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="tablegate-")
     return f"{shared.rstrip('/')}/tablegate-{uuid.uuid4().hex}"
