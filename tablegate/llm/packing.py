@@ -183,12 +183,14 @@ class WordIds:
         split = {}
         for word in missing:
             stem = word.rstrip(self.SIGNS)
-            split[word] = (stem, word[len(stem) :]) if stem.decode("utf-8", "replace").isalpha() else (word, b"")
+            # lowered: one capital becomes a letter and a mark, which joins with signs
+            letters_only = stem.decode("utf-8", "replace").lower().isalpha()
+            split[word] = (stem, word[len(stem) :]) if letters_only else (word, b"")
         unknown = {part for pair in split.values() for part in pair if part not in self.parts}
         letters, others = [], []
         for part in unknown:
             text = part.decode("utf-8", "replace")
-            (letters if text.isalpha() else others).append((part, text))
+            (letters if text.lower().isalpha() else others).append((part, text))
         groups = [letters[i : i + self.JOINED] for i in range(0, len(letters), self.JOINED)]
         encoded = self._encoded([" ".join(text for _, text in group) for group in groups])
         for group, ids in zip(groups, encoded, strict=True):
