@@ -74,10 +74,11 @@ def search_block(
             # rounding of the steps above, far below any quantisation error
             slack = 1e-7 * (np.sqrt(left.square[q])[:, None] + np.sqrt(right.square[c])) + left.error[q][:, None] + right.error[c]
             own = query_ids[q][:, None] == ids[c]
-            upper = np.where(own, np.inf, near + slack)
+            # components so large that a square overflows give no bound: such pairs are always recomputed
+            upper = np.where(own | np.isnan(near + slack), np.inf, near + slack)
             if len(c) >= k:
                 bound[q] = np.minimum(bound[q], np.partition(upper, k - 1, axis=1)[:, k - 1])
-            a, b = np.nonzero(~own & (near - slack <= bound[q][:, None]))
+            a, b = np.nonzero(~own & ~(near - slack > bound[q][:, None]))
             for at in range(0, len(a), PAIRS):
                 some, other = q[a[at : at + PAIRS]], c[b[at : at + PAIRS]]
                 exact = distance(left.vectors[some], right.vectors[other])

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
@@ -99,6 +99,16 @@ def test_nearest_with_odd_vectors(spark):
     assert nearest.nearest_neighbours(frame.limit(0), frame["vec_id"] % 100 == 0).count() == 0
 
 
+def test_nearest_with_squares_that_overflow():
+    random = np.random.default_rng(4)
+    vectors = random.normal(size=(40, 3)) * np.where(np.arange(40) % 2, 1e200, 1.0)[:, None]
+    with np.errstate(all="ignore"):
+        found = list(nearest.search_block(np.array([0]), vectors[:1], np.arange(40), vectors, 25))
+    small = sorted(((vectors[i] - vectors[0]) ** 2).sum() for i in range(2, 40, 2))
+    scores = sorted(score for _, _, score in found)
+    assert np.allclose(scores[:19], np.sqrt(small)) and np.isinf(scores[19:]).all() and len(found) == 25
+
+
 def test_exact_binomial_bound():
     assert rules.rejects_at_most(0, 600, 0.005, 0.05) and not rules.rejects_at_most(0, 597, 0.005, 0.05)
     assert not rules.rejects_at_most(0, 0, 0.5, 0.5) and not rules.rejects_at_most(40, 600, 0.05, 0.05)
@@ -114,7 +124,8 @@ def test_page_text():
     assert htmltext.main_text("") == htmltext.main_text("<p></p><!-- open") == ""
 
 
-@settings(max_examples=50, deadline=None)
+@settings(max_examples=300, deadline=None)
+@example("İ# aİ;")
 @given(st.text(alphabet=st.sampled_from("abZé İßΣ'.,!*<|>1 \t\x0b\x1c\xa0中́"), max_size=30))
 def test_word_ids_equal_the_tokenizer(text):
     whole = Tokenizer.from_file(TOKENIZER).encode(text, add_special_tokens=False).ids
