@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,12 +17,13 @@ def limit_rows(df: DataFrame, count: int, in_place: bool = False) -> DataFrame:
     last step stops the scan early, but with steps after it up to ``count``
     rows of every partition come together in one task.
 
-    ``in_place=True`` is for any larger count. Rows per partition are counted
-    first, over the whole input and when this is called; whole partitions up
-    to the cut-off are kept, and part of the one it falls in, where they are.
-    The input is read twice and both reads must cut it alike, so ``df`` must
-    be a scan with narrow steps on top, over files that do not change in
-    between.
+    ``in_place=True`` is for any larger count. Rows are counted when this is
+    called, over growing groups of the scan's files, until they are enough;
+    later files are not read. Of the files so chosen whole partitions up to
+    the cut-off are kept, and part of the one it falls in, where they are.
+    The chosen files are read again for that and must be cut alike, so ``df``
+    must be a scan with narrow steps on top, over files that do not change in
+    between. A frame that reads no files is counted whole.
     """
     if count < 0:
         raise ValueError("a row limit is not negative")
@@ -28,6 +31,31 @@ def limit_rows(df: DataFrame, count: int, in_place: bool = False) -> DataFrame:
         return df.limit(count)
     if count == 0:
         return df.where(F.lit(False))
+    return _first_rows(_enough_files(df, count), count)
+
+
+def _enough_files(df: DataFrame, count: int) -> DataFrame:
+    """``df`` over its first files by path, so many that they hold ``count`` rows (all if fewer).
+
+    Groups start at one file per core and double what was taken before. A
+    range of paths prunes files when the scan lists them. Ranges that fit the
+    files badly cost time only, since the same ranges are counted and kept.
+    """
+    # rows name their file without the empty host of a listed one
+    files = sorted(re.sub("^([a-z]+):///", r"\1:/", name) for name in df.inputFiles())
+    path = F.col("_metadata.file_path")
+    rows, taken = 0, 0
+    while taken < len(files) and rows < count:
+        upper = min(len(files), max(2 * taken, df.sparkSession.sparkContext.defaultParallelism))
+        group = path <= files[upper - 1]
+        if taken:
+            group = group & (path > files[taken - 1])
+        rows += df.where(group).count()
+        taken = upper
+    return df.where(path <= files[taken - 1]) if taken < len(files) else df
+
+
+def _first_rows(df: DataFrame, count: int) -> DataFrame:
     # one row per partition: the number of tasks bounds what comes together here
     per_partition = df.groupBy(F.spark_partition_id().alias("part")).agg(
         F.count(F.lit(1)).alias("rows")

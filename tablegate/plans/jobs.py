@@ -31,18 +31,22 @@ def tail(
     limit: int | None = None,
     separator: str = DEFAULT_SEPARATOR,
     contract: T.StructType | None = None,
+    limit_in_place: bool = False,
 ) -> DataFrame:
     """Rows of a table as printed lines, in a ``line`` column.
 
-    ``contract`` prints the fields of a row contract instead of all data columns.
+    ``contract`` prints the fields of a row contract instead of all data
+    columns. The limit is the last step, so showing or collecting the lines
+    stops the scan early; ``limit_in_place`` is for counts beyond one task.
     """
     keys = table_schema(spark, spec).partition_keys
     rows = read_table(spark, spec)
     if contract is not None:
         rows, keys = as_rows(rows, contract), ()
-    if limit is not None:
-        rows = limit_rows(rows, limit)
-    return format_lines(rows, separator, keys)
+    if limit is not None and limit_in_place:
+        rows = limit_rows(rows, limit, in_place=True)
+    lines = format_lines(rows, separator, keys)
+    return lines if limit is None or limit_in_place else limit_rows(lines, limit)
 
 
 def tail_parse_only(

@@ -20,7 +20,6 @@ from tablegate.operators.access import (
     rows_from_positions,
 )
 from tablegate.operators.access import null_sentinels as with_sentinels
-from tablegate.operators.limit import limit_rows
 from tablegate.operators.lines import debug_text, format_lines
 from tablegate.operators.schema import table_schema as schema_of
 from tablegate.plans.jobs import tail
@@ -416,17 +415,26 @@ def row_debug_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debug_text(_orders_with_null_customers(spark, sf_dir).drop("o_orderpriority"))
 
 
-@query("SELECT count(*) AS num_rows FROM (SELECT * FROM lineitem LIMIT 100) t")
+LIMITED = """
+SELECT count(*) AS num_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS num_keys
+FROM (SELECT * FROM lineitem LIMIT {}) t
+"""
+
+
+def _count_lines(lines: DataFrame) -> DataFrame:
+    return lines.agg(F.count(F.lit(1)).alias("num_rows"), F.count_distinct("line").alias("num_keys"))
+
+
+@query(LIMITED.format(100))
 def tail_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = ReadSpec(path=f"{sf_dir}/lineitem.parquet", columns=("l_orderkey", "l_partkey"))
-    return tail(spark, spec, limit=100).agg(F.count(F.lit(1)).alias("num_rows"))
+    spec = ReadSpec(path=f"{sf_dir}/lineitem.parquet", columns=("l_orderkey", "l_linenumber"))
+    return _count_lines(tail(spark, spec, limit=100))
 
 
-@query("SELECT count(*) AS num_rows FROM (SELECT * FROM lineitem LIMIT 50000) t")
+@query(LIMITED.format(50_000))
 def tail_limit_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The parallel form of the limit, which large counts take."""
     spec = ReadSpec(
-        path=f"{sf_dir}/lineitem.parquet", columns=("l_orderkey", "l_partkey"), num_splits=16
+        path=f"{sf_dir}/lineitem.parquet", columns=("l_orderkey", "l_linenumber"), num_splits=16
     )
-    limited = limit_rows(read_table(spark, spec), 50_000, in_place=True)
-    return format_lines(limited).agg(F.count(F.lit(1)).alias("num_rows"))
+    return _count_lines(tail(spark, spec, limit=50_000, limit_in_place=True))

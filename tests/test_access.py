@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,3 +135,24 @@ def test_negative_limit_is_refused(spark):
     with pytest.raises(ValueError, match="negative"):
         limit_rows(spark.range(1), -1)
     assert limit_rows(spark.range(1), 0, in_place=True).count() == 0
+
+
+def test_limit_reads_no_more_files_than_it_needs(spark, tmp_path):
+    """Ten rows a file; a file that no reader can open lies behind them, and a partition filter before."""
+    cores = spark.sparkContext.defaultParallelism
+    for i in range(3 * cores):
+        rows = spark.range(10 * i, 10 * i + 10).coalesce(1).toArrow()
+        folder = tmp_path / f"ds=d {i % 2}"
+        folder.mkdir(exist_ok=True)
+        pq.write_table(rows, folder / f"f{i:04}.parquet")
+    (tmp_path / "ds=d 1" / "z.parquet").write_text("no parquet")
+    scan = spark.read.schema("id bigint, ds string").parquet(str(tmp_path)).select("id", "ds")
+    for count in (1, 10 * cores, 10 * cores + 1, 20 * cores - 5):
+        limited = limit_rows(scan, count, in_place=True)
+        assert "SinglePartition" not in limited._jdf.queryExecution().executedPlan().toString()
+        ids = [row["id"] for row in limited.collect()]
+        assert len(ids) == len(set(ids)) == count
+    chosen = scan.where("ds = 'd 0'")
+    for count in (15, 10**6):
+        ids = [row["id"] for row in limit_rows(chosen, count, in_place=True).collect()]
+        assert len(ids) == len(set(ids)) == min(count, chosen.count())
