@@ -27,6 +27,8 @@ RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title",
 UNWANTED = frozenset("nav header footer aside form dialog menu fieldset".split())
 MAIN = frozenset(("article", "main"))
 CLOSES_P = BLOCKS - {"body", "html"}
+# Elements without content or end tag.
+VOID = frozenset("area base basefont bgsound br col embed frame hr image img input keygen link meta param source track wbr".split())
 # Words of class, id and role that mark what is not the article.
 UNWANTED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent"
@@ -43,32 +45,55 @@ _TOKEN = re.compile(
     r"|<(?=/?[a-zA-Z])[^<>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _SPLIT = re.compile(r"[^a-z]+")
+# Parts of a name that say what an element holds or lacks, not what it is.
+ABOUT_OTHERS = frozenset("has have no not with without".split())
 LINKS = 0.5  # a sibling with more of its characters in links is a list of links
 SIBLING_SHARE = 0.1
 
 
-def _unwanted(name: str, attributes: str) -> bool:
+def _attributes(attributes: str) -> Iterator[tuple[str, str]]:
+    for match in _ATTRIBUTE.finditer(attributes):
+        yield match[1].lower(), match[2] or match[3] or match[4] or ""
+
+
+def _hidden(attributes: str) -> bool:
+    for name, value in _attributes(attributes):
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
+            return True
+        if name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
+
+
+def _named_unwanted(attributes: str) -> bool:
+    """Whether a class, id or role is a listed word or has it as a part; ``has-sidebar`` or ``no-sidebar`` is none."""
+    for name, value in _attributes(attributes):
+        if name in ("class", "id", "role"):
+            for token in value.lower().split():
+                parts = _SPLIT.split(token)
+                if ABOUT_OTHERS.isdisjoint(parts) and not UNWANTED_NAMES.isdisjoint(parts):
+                    return True
+    return False
+
+
+def _unwanted(name: str, attributes: str, by_name: bool = True) -> bool:
     if name in UNWANTED:
         return True
     if not attributes.strip():
         return False
-    if _HIDDEN.search(attributes):
+    if _hidden(attributes):
         return True
-    if name in ("body", "html") or name in MAIN:
-        return False
-    for groups in _NAMES.findall(attributes):
-        if not UNWANTED_NAMES.isdisjoint(_SPLIT.split("".join(groups).lower())):
-            return True
-    return False
+    return by_name and name not in ("body", "html") and name not in MAIN and _named_unwanted(attributes)
 
 
 class Page:
     """Blocks of text and the elements that hold them, in page order."""
 
-    def __init__(self) -> None:
+    def __init__(self, by_name: bool = True) -> None:
+        self.by_name = by_name
         self.parents, self.names, self.unwanted = [-1], [""], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self.stack = [0]
@@ -102,12 +127,12 @@ class Page:
             self._close_inside(("tr",), frozenset(("table",)))
         elif name in ("dt", "dd"):
             self._close_inside(("dt", "dd"), frozenset(("dl",)))
-        if name == "hr" or attributes.endswith("/"):
+        if name in VOID or attributes.endswith("/"):
             return
         top = self.stack[-1]
         self.parents.append(top)
         self.names.append(name)
-        self.unwanted.append(self.unwanted[top] or _unwanted(name, attributes))
+        self.unwanted.append(self.unwanted[top] or _unwanted(name, attributes, self.by_name))
         self.stack.append(len(self.names) - 1)
 
     def _close_inside(self, names: tuple[str, ...], stops: frozenset[str]) -> None:
@@ -128,9 +153,12 @@ class Page:
                 return
 
 
-def read_page(html: str) -> Page:
-    """Elements and text blocks of a page; broken markup, cut-off tags included, is markup all the same."""
-    page, at = Page(), 0
+def read_page(html: str, by_name: bool = True) -> Page:
+    """Elements and text blocks of a page; broken markup, cut-off tags included, is markup all the same.
+
+    ``by_name``: leave out what class, id or role names as no part of the article.
+    """
+    page, at = Page(by_name), 0
     for match in _TOKEN.finditer(html):
         if match.start() > at:
             page.text(html[at : match.start()])
@@ -148,7 +176,9 @@ def read_page(html: str) -> Page:
             page.in_link = not match[2]
         elif name == "br":
             page.text(" ")
-        elif not match[2] and match[4] and _unwanted(name, match[4]) and not match[4].endswith("/"):
+        elif name in VOID:
+            continue
+        elif not match[2] and match[4] and _unwanted(name, match[4], by_name) and not match[4].endswith("/"):
             page.open(name, match[4])  # an inline element that is hidden or no part of the article
         elif match[2] and any(page.names[i] == name for i in page.stack):
             page.close(name)
@@ -196,7 +226,8 @@ def main_blocks(page: Page) -> list[str]:
 
 
 def main_text(html: str) -> str:
-    return "\n\n".join(main_blocks(read_page(html)))
+    """The main text; a page whose names leave nothing is scored again without regard to names."""
+    return "\n\n".join(main_blocks(read_page(html)) or main_blocks(read_page(html, by_name=False)))
 
 
 def extract_main_text(

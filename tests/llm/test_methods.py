@@ -123,6 +123,31 @@ def test_page_text():
     assert htmltext.main_text("") == htmltext.main_text("<p></p><!-- open") == ""
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<article><img class="header-image" src=x><p>Whole, text.</p></article>',
+        "<head><link id=share-css rel=stylesheet></head><body><article><p>Whole, text.</p></article></body>",
+        '<div class="content has-sidebar"><article><p>Whole, text.</p></article></div>',
+        "<div class='no-sidebar'><p>Whole, text.</p></div>",
+        '<article title="the hidden cost"><p data-class="share">Whole, text.</p></article>',
+        "<div data-note='aria-hidden=\"true\" display:none'><p>Whole, text.</p></div>",
+        "<div class=sidebar><article><p>Whole, text.</p></article></div>",
+    ],
+)
+def test_page_text_is_not_lost_by_names(page):
+    assert htmltext.main_text(page) == "Whole, text."
+
+
+def test_page_text_leaves_out_hidden_and_named():
+    page = (
+        "<div><p>Whole, text.</p><p hidden>a, b</p><p aria-hidden='true'>c, d</p><p style='display: none'>e, f</p>"
+        "<div class='page sidebar'>g, h</div><span class=share-buttons>i</span></div>"
+    )
+    assert htmltext.main_text(page) == "Whole, text."
+    assert htmltext.main_text("<p hidden>a, b</p>") == ""
+
+
 @settings(max_examples=300, deadline=None)
 @example("İ# aİ;")
 @given(st.text(alphabet=st.sampled_from("abZé İßΣ'.,!*<|>1 \t\x0b\x1c\xa0中́"), max_size=30))
