@@ -26,8 +26,7 @@ FOLDS, HELD_OUT = 7, 2
 KNOWN_WORDS = 100_000  # most frequent words that tasks hold with their counts; rarer ones are joined
 FLUSH_WORDS = 400_000
 SEGMENT = 4 * gru.WINDOW
-TRAIN_EVERY = 6  # of each training document's segments one in so many, by hash, trains the network
-ROUNDS = 2
+ROUNDS = 2  # every segment of every training document trains in one of them
 TRAIN_LANES = 64
 MERGE = 32  # copies of the network that are averaged at once
 SLICE = 1 << 14
@@ -108,11 +107,11 @@ class Lexicon:
 
 
 def _segments(raw: bytes, round_number: int, lexicon: Lexicon) -> Iterator[np.ndarray]:
-    """The segments of a text that train in this round; the hash of the text spreads them over all its length."""
+    """The segments of a text that train in this round: each in one round, by turns that the hash of the text starts."""
     words = lower_ascii(raw).split()
-    turn = zlib.crc32(raw[:64], len(raw))
+    turn = zlib.crc32(raw)
     for i, low in enumerate(range(0, len(words) + 1, SEGMENT)):
-        if (turn + i) % (TRAIN_EVERY * ROUNDS) == round_number:
+        if (turn + i) % ROUNDS == round_number:
             part = words[low : low + SEGMENT]
             tokens = lexicon.numbers(part)[0]
             yield tokens if low + SEGMENT > len(words) else tokens[:-1]

@@ -11,7 +11,7 @@ from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from oracle import connect, difference
-from tablegate.llm import chat, components, gru, htmltext, nearest, packing, rules, simhash
+from tablegate.llm import chat, components, gru, htmltext, lm, nearest, packing, rules, simhash
 from tablegate.llm.queries import ORACLES, QUERIES, TOKENIZER
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -189,6 +189,21 @@ def test_gru_gradients_and_windows():
     assert alone == pytest.approx(beside, rel=1e-5)
 
 
+def test_every_segment_trains_once():
+    words = [b"w%d" % i for i in range(5 * lm.SEGMENT + 7)]
+    lexicon = lm.Lexicon.of([(word, 1) for word in words], 1, {})
+    ends = 0
+    for size in (0, 1, 127, 128, 129, len(words)):
+        raw = b" ".join(words[:size])
+        parts = [p.tolist() for r in range(lm.ROUNDS) for p in lm._segments(raw, r, lexicon)]
+        assert sorted(t for part in parts for t in part) == sorted(lexicon.numbers(words[:size])[0].tolist())
+        ends += sum(part.count(gru.END) for part in parts)
+    assert ends == 6
+    # texts alike in their first bytes and their length do not take the same turn each
+    alike = [b"a" * 64 + b" %03d" % i for i in range(40)]
+    assert len({tuple(len(list(lm._segments(raw, r, lexicon))) for r in range(lm.ROUNDS)) for raw in alike}) == 2
+
+
 def test_repeated_words():
     words = b"a b c a b c x a b c".split()
     windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
