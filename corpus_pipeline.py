@@ -15,11 +15,24 @@ from tablegate.llm.storage import stored
 from tablegate.plans.registry import given
 
 
+def _free_name(docs: DataFrame, name: str) -> str:
+    """A working name like ``name`` that no column of ``docs`` has, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _columns(docs: DataFrame) -> list[str]:
+    return ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of those given."""
     model = quality.fit(docs, given(spark, sf_dir, "labels", "doc_id", "quality"))
-    scored = quality.with_score(docs, model, name="__quality")
-    return scored.where(F.col("__quality") >= quality.THRESHOLD).drop("__quality")
+    name = _free_name(docs, "__quality")
+    scored = quality.with_score(docs, model, name=name)
+    return scored.where(F.col(name) >= quality.THRESHOLD).drop(name)
 
 
 def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +42,16 @@ def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` counts the new text."""
-    redacted = pii.redact(pii.find_personal(docs))
+    name = _free_name(docs, "__pii")
+    redacted = pii.redact(pii.find_personal(docs, name=name), name=name)
     chars = F.coalesce(F.char_length("text").cast("long"), F.col("n_chars"))
-    return redacted.withColumn("n_chars", chars).select(*docs.columns)
+    return redacted.withColumn("n_chars", chars).select(*_columns(docs))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as its source's target weight takes it."""
-    return mixing.emit_copies(mixing.mix_sources(docs)).select(*docs.columns)
+    name = _free_name(docs, "__mix")
+    return mixing.emit_copies(mixing.mix_sources(docs, name=name), name).select(*_columns(docs))
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

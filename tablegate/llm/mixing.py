@@ -71,19 +71,20 @@ def mix_sources(
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MOST_REPEATS,
     seed: int = 4,
+    name: str = "mix",
 ) -> DataFrame:
-    """Each document with ``mix``: its size, source_size, target, rate and copies.
+    """Each document with ``mix`` (or another name): its size, source_size, target, rate and copies.
 
     Two scans of the documents: one adds up sizes per source, one decides.
     A null text has size 0, null is a source of its own, a null id is drawn
     like any other, rows repeated under one id get the same number of copies,
-    and an empty table gives no rows. A column called ``mix`` is replaced.
+    and an empty table gives no rows. A column of that name is replaced.
     The draw depends on id and seed, so reruns agree.
     """
     sizes = docs.select(F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"))
     rates = source_targets(sizes, weights, most)
     table = rates.select(F.col("source").alias("__source"), F.struct("source_size", "target", "rate").alias("__rate"))
-    keyed = docs.drop("mix").withColumn("__source", F.col(source_column))
+    keyed = docs.drop(name).withColumn("__source", F.col(source_column))
     joined = join_small(keyed, table, "__source")
     rate = F.col("__rate.rate")
     draw = uniform(F.col(id_column), seed) < rate - F.floor(rate)
@@ -94,11 +95,12 @@ def mix_sources(
         rate.alias("rate"),
         (F.floor(rate) + draw.cast("long")).alias("copies"),
     )
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns if c != "mix"), mix.alias("mix"))
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns if c != name), mix.alias(name))
 
 
-def emit_copies(mixed: DataFrame) -> DataFrame:
+def emit_copies(mixed: DataFrame, name: str = "mix") -> DataFrame:
     """Every document as many times as the mix takes it, without the ``mix`` column."""
-    copies = F.expr("sequence(1L, mix.copies)")
-    taken = mixed.where(F.col("mix.copies") > 0).withColumn("__copy", F.explode(copies))
-    return taken.drop("__copy", "mix")
+    times = F.col(name)["copies"]
+    copies = F.sequence(F.lit(1).cast("long"), times)
+    taken = mixed.where(times > 0).withColumn("__copy", F.explode(copies))
+    return taken.drop("__copy", name)

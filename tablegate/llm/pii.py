@@ -281,24 +281,24 @@ def marked(span: Column) -> Column:
     )
 
 
-def find_personal(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Each row with ``pii``: its spans (start, rank, end, kind), ordered.
+def find_personal(docs: DataFrame, text_column: str = "text", name: str = "pii") -> DataFrame:
+    """Each row with ``pii`` (or another name): its spans (start, rank, end, kind), ordered.
 
     Positions are code points, ends exclusive. A null or empty text has no
     spans, an empty table no rows; repeated rows are treated alike; other
-    columns pass through, one called ``pii`` is replaced. The votes are
+    columns pass through, one of that name is replaced. The votes are
     counted over all texts first, then a second scan decides. Only counts of
     vote patterns, at most 3^5, reach the driver.
     """
     weights = fit_labelers(docs, text_column)
-    both = with_candidates(docs.drop("pii"), text_column)
+    both = with_candidates(docs.drop(name), text_column)
     kept = F.concat(F.col(BASE), F.filter(WIDE, lambda span: accepted(span, weights)))
-    return both.withColumn("pii", F.array_sort(F.transform(kept, marked))).drop(BASE, WIDE)
+    return both.withColumn(name, F.array_sort(F.transform(kept, marked))).drop(BASE, WIDE)
 
 
-def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def redact(docs: DataFrame, text_column: str = "text", name: str = "pii") -> DataFrame:
     """Replace every span by its kind in brackets; overlapping spans become one. Other texts stay as they are."""
-    text, spans = F.col(text_column), F.col("pii")
+    text, spans = F.col(text_column), F.col(name)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     walked = F.aggregate(
         spans,
@@ -319,4 +319,4 @@ def redact(docs: DataFrame, text_column: str = "text") -> DataFrame:
     )
     rest = F.substring(text, walked["at"] + 1, F.length(text))
     clean = F.when(F.size(spans) > 0, F.concat(F.array_join(walked["out"], ""), rest)).otherwise(text)
-    return docs.withColumn(text_column, clean).drop("pii")
+    return docs.withColumn(text_column, clean).drop(name)

@@ -82,3 +82,24 @@ def test_pipeline_stages(spark, odd, none, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)))
             assert docs.columns == columns or name == "packing"
+
+
+def test_pipeline_stages_keep_clashing_columns(spark, odd, none, tmp_path):
+    """The caller's columns of every name that operators use stay as they are."""
+    labelled = spark.createDataFrame([(i, 1, 0) for i in range(1, 7)], "doc_id long, quality int, toxic int")
+    labelled.write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (odd, none):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)))
+            if name != "packing":
+                assert docs.columns == columns
+                assert {(r["score"], r["row"], r["mix"], r["pii"]) for r in docs.collect()} <= {("s", "r", "m", "p")}
+
+
+def test_stages_take_their_own_working_names(spark, odd):
+    docs = odd.withColumnsRenamed({"pii": "__PII", "mix": "__mix"})
+    for stage in (corpus_pipeline.personal_data, corpus_pipeline.source_mixing):
+        kept = stage(spark, docs, "")
+        assert kept.columns == docs.columns
+        assert {(r["__PII"], r["__mix"]) for r in kept.collect()} == {("p", "m")}
