@@ -36,7 +36,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, by the limits of op5: four-word shingles, at most 4 of 64 bits.
+
+    Most copies that share less than about 0.95 of their five-word shingles
+    differ in more bits and stay. Links are not checked against the texts, and
+    a chain of them counts as one group.
+    """
     return simhash.keep_one(docs)
 
 
