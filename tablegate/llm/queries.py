@@ -12,7 +12,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import chat, htmltext, lm, mixing, nearest, packing, pii, quality, rules, simhash
+from tablegate.llm import (
+    chat,
+    htmltext,
+    lexical,
+    licenses,
+    lm,
+    mixing,
+    nearest,
+    packing,
+    pii,
+    quality,
+    rules,
+    simhash,
+    whitening,
+)
 from tablegate.plans.registry import given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +154,66 @@ def op9_column_generation_packing(spark: SparkSession, sf_dir: str) -> DataFrame
     return packing.pack(given(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
 
 
+def op11_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(given(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    parts = F.posexplode(F.arrays_zip("whitened", "explained"))
+    each = done.select("vec_id", "n", "deviation", "identity_error", parts.alias("at", "part"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation",
+        F.col("part.whitened").alias("whitened"), F.col("part.explained").alias("explained"), "identity_error",
+    )
+
+
+def op12_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(given(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"].cast("long"))
+
+    def labels(matches: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_shared_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.ranked_search(docs, given(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), words AS (
+  SELECT r, doc_id, len(words)::BIGINT AS n, unnest(words) AS term FROM texts
+), totals AS (
+  SELECT count(DISTINCT r) AS docs, count(*) AS length FROM words
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), counts AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM words SEMI JOIN item_terms USING (term) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, totals GROUP BY term, docs
+), earned AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // length)))) AS points
+  FROM counts JOIN weights USING (term), totals
+), scored AS (
+  SELECT item_id, r, doc_id, sum(points)::BIGINT AS score FROM earned JOIN item_terms USING (term) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_block_nearest": op1_block_nearest,
     "op2_certified_rules": op2_certified_rules,
@@ -151,8 +225,12 @@ QUERIES: dict[str, Query] = {
     "op8_page_text": op8_page_text,
     "op9_column_generation_packing": op9_column_generation_packing,
     "op10_personal_data": op10_personal_data,
+    "op11_bit_sliced_whitening": op11_bit_sliced_whitening,
+    "op12_license_diagonals": op12_license_diagonals,
+    "op13_shared_lexical_search": op13_shared_lexical_search,
 }
 ORACLES: dict[str, str] = {
     "op1_block_nearest": " ".join(OP1_SQL.split()),
     "op4_source_mixing": " ".join(OP4_SQL.split()),
+    "op13_shared_lexical_search": " ".join(OP13_SQL.split()),
 }
