@@ -37,6 +37,7 @@ from tablegate.session import tune_session
 from tablegate.sinks.checks import OutputCheckError, check_output
 from tablegate.sinks.tables import new_rows, write_profiles, write_table
 from tablegate.sinks.text import append_statistics, write_delimited, write_lines
+from tablegate.sources.formats import FormatRule, UnknownFormatError, read_by_format
 from tablegate.sources.partitions import list_files, list_partitions
 from tablegate.sources.tables import FormatGroup, read_mixed_formats, read_profiles, read_table
 from tablegate.spec import (
@@ -48,13 +49,13 @@ from tablegate.spec import (
 )
 
 __all__ = [
-    "ID_ID_SIM", "ID_ID_WEIGHT", "TAB_SEPARATED", "DelimitedFormat", "FormatGroup",
-    "OutputCheckError", "ReadSpec", "TableSchema", "WriteSpec", "append_statistics", "as_rows",
+    "ID_ID_SIM", "ID_ID_WEIGHT", "TAB_SEPARATED", "DelimitedFormat", "FormatGroup", "FormatRule",
+    "OutputCheckError", "ReadSpec", "TableSchema", "UnknownFormatError", "WriteSpec", "append_statistics", "as_rows",
     "assert_supported_types", "can_widen", "check_output", "convert_size", "data_columns",
     "file_stats", "first_long_long_double", "format_lines", "get_map", "input_benchmark",
     "kind_of", "limit_rows", "list_files", "list_partitions", "map_only_write", "new_rows",
     "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_stats",
-    "qualified_name", "read_metrics", "read_mixed_formats", "read_profiles", "read_table",
+    "qualified_name", "read_by_format", "read_metrics", "read_mixed_formats", "read_profiles", "read_table",
     "require_type", "rows_from_positions", "selection_stats", "set_exact",
     "stored_selection_stats", "stored_stats", "sweep", "table_schema", "tail", "tail_parse_only",
     "tune_session", "upgrade_to", "write_delimited", "write_lines", "write_profiles", "write_table",

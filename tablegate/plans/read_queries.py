@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.functions.text import partition_path
 from tablegate.operators.access import (
     ID_ID_SIM,
     ID_ID_WEIGHT,
@@ -32,9 +31,10 @@ from tablegate.plans.registry import (
     query,
 )
 from tablegate.sinks.text import write_delimited, write_lines
-from tablegate.sources.partitions import NULL_PARTITION, list_files
+from tablegate.sources.formats import read_by_format
+from tablegate.sources.partitions import list_files
 from tablegate.sources.partitions import list_partitions as partitions_of
-from tablegate.sources.tables import FormatGroup, read_mixed_formats, read_table
+from tablegate.sources.tables import read_table
 from tablegate.sources.tables import read_profiles as profiles_of
 from tablegate.spec import TAB_SEPARATED, ReadSpec
 from tablegate.workspace import scratch_folder
@@ -281,32 +281,24 @@ def added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @layout
-def orders_two_formats(spark: SparkSession, sf_dir: str) -> str:
-    """Path of ``orders`` by status: F as delimited text, the others as Parquet."""
+def orders_three_formats(spark: SparkSession, sf_dir: str) -> str:
+    """Path of ``orders`` by status: F as delimited text, P as ORC, the others as Parquet."""
     path = scratch_folder(spark)
     orders = given(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
     orders = orders.withColumnRenamed("o_orderstatus", "ds")
     write_delimited(orders.where("ds <=> 'F'").drop("ds"), f"{path}/ds=F", TAB_SEPARATED)
-    orders.where("NOT (ds <=> 'F')").hint("rebalance", "ds").write.mode("append").partitionBy(
-        "ds"
-    ).parquet(path)
+    orders.where("ds <=> 'P'").drop("ds").write.orc(f"{path}/ds=P")
+    others = orders.where("NOT (ds <=> 'F' OR ds <=> 'P')").hint("rebalance", "ds")
+    others.write.mode("append").partitionBy("ds").parquet(path)
     return path
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus AS ds FROM orders")
 def mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = orders_two_formats(spark, sf_dir)
+    """Each partition in its own format, which the files tell."""
     data = T.DataType.fromDDL("o_orderkey bigint, o_custkey bigint")
-    spec = ReadSpec(path=path, schema=data, partition_keys=("ds",))
-    ds = F.col("ds")
-    folder = F.when(ds.isNull(), F.lit(f"ds={NULL_PARTITION}")).otherwise(partition_path({"ds": ds}))
-    listed = partitions_of(spark, spec).where("NOT (ds <=> 'F')")
-    others = tuple(f"{path}/{row[0]}" for row in listed.select(folder).collect())
-    groups = [
-        FormatGroup("delimited", (f"{path}/ds=F",), data, TAB_SEPARATED),
-        FormatGroup("parquet", others, data),
-    ]
-    return read_mixed_formats(spark, path, groups, spec)
+    path = orders_three_formats(spark, sf_dir)
+    return read_by_format(spark, ReadSpec(path=path, schema=data, partition_keys=("ds",), delimited=TAB_SEPARATED))
 
 
 @layout

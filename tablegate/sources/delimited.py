@@ -108,11 +108,13 @@ def read_lines(
     partition_keys: tuple[str, ...] = (),
     *,
     base_path: str | None = None,
+    files: str | None = None,
     skip_unreadable: bool = False,
 ) -> DataFrame:
     """Text lines with the partition keys as string columns.
 
     Compressed files (gzip, bzip2, deflate) are opened by their extension.
+    ``files`` is a glob that file names must match.
     """
     schema = T.StructType(
         [T.StructField(LINE, T.StringType())]
@@ -121,6 +123,8 @@ def read_lines(
     reader = spark.read.schema(schema)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
+    if files is not None:
+        reader = reader.option("pathGlobFilter", files)
     if skip_unreadable:
         reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     return reader.text(path)
