@@ -14,6 +14,7 @@ from tablegate.operators.access import (
     require_type,
     rows_from_positions,
 )
+from tablegate.operators.catalog import partition_listing
 from tablegate.operators.limit import limit_rows
 from tablegate.operators.lines import format_lines
 from tablegate.operators.observe import observe_rows, observe_success, read_metrics
@@ -35,7 +36,7 @@ from tablegate.plans.jobs import (
 )
 from tablegate.session import tune_session
 from tablegate.sinks.checks import OutputCheckError, check_output
-from tablegate.sinks.tables import new_rows, write_profiles, write_table
+from tablegate.sinks.tables import Output, new_rows, write_outputs, write_profiles, write_table
 from tablegate.sinks.text import append_statistics, write_delimited, write_lines
 from tablegate.sources.formats import FormatRule, UnknownFormatError, read_by_format
 from tablegate.sources.partitions import list_files, list_partitions
@@ -50,13 +51,15 @@ from tablegate.spec import (
 
 __all__ = [
     "ID_ID_SIM", "ID_ID_WEIGHT", "TAB_SEPARATED", "DelimitedFormat", "FormatGroup", "FormatRule",
-    "OutputCheckError", "ReadSpec", "TableSchema", "UnknownFormatError", "WriteSpec", "append_statistics", "as_rows",
+    "Output", "OutputCheckError", "ReadSpec", "TableSchema", "UnknownFormatError", "WriteSpec", "append_statistics", "as_rows",
     "assert_supported_types", "can_widen", "check_output", "convert_size", "data_columns",
     "file_stats", "first_long_long_double", "format_lines", "get_map", "input_benchmark",
     "kind_of", "limit_rows", "list_files", "list_partitions", "map_only_write", "new_rows",
-    "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_stats",
+    "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_listing",
+    "partition_stats",
     "qualified_name", "read_by_format", "read_metrics", "read_mixed_formats", "read_profiles", "read_table",
     "require_type", "rows_from_positions", "selection_stats", "set_exact",
     "stored_selection_stats", "stored_stats", "sweep", "table_schema", "tail", "tail_parse_only",
-    "tune_session", "upgrade_to", "write_delimited", "write_lines", "write_profiles", "write_table",
+    "tune_session", "upgrade_to", "write_delimited", "write_lines", "write_outputs",
+    "write_profiles", "write_table",
 ]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.units import to_megabytes
+from tablegate.operators.catalog import partition_listing, partition_numbers, partition_totals
 from tablegate.operators.schema import table_schema
 from tablegate.sources.delimited import LINE
 from tablegate.sources.partitions import (
@@ -18,7 +19,6 @@ from tablegate.sources.partitions import (
     list_files,
     list_partitions,
     match_partition_spec,
-    partition_clause,
 )
 from tablegate.sources.tables import choose_partitions, open_table
 from tablegate.spec import ReadSpec, qualified_name, quote_name, quote_table
@@ -181,13 +181,13 @@ def stored_stats(
     spark: SparkSession, table: str, partition: Mapping[str, str] | None = None
 ) -> StoredStats | None:
     """What the catalog knows about a table or one partition; no scan. None if nothing."""
-    clause = ""
     table = qualified_name(table)
     if partition:
         keys = table_schema(spark, table).partition_keys
-        clause = partition_clause(match_partition_spec(keys, partition))
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)} {clause}")
-    row = described.where(F.col("col_name").isin("Statistics", "Partition Statistics")).first()
+        _, rows, size = partition_numbers(spark, table, match_partition_spec(keys, partition))
+        return None if size is None else StoredStats(size, rows)
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_table(table)}")
+    row = described.where(F.col("col_name") == "Statistics").first()
     if row is None:
         return None
     size = re.search(r"(\d+) bytes", row.data_type)
@@ -198,20 +198,17 @@ def stored_stats(
 def stored_selection_stats(spark: SparkSession, spec: ReadSpec) -> StoredStats | None:
     """Stored statistics of the selected partitions (or the whole table) added up; no scan.
 
-    One catalog call per selected partition. None if the catalog lacks
-    them for any; :func:`selection_stats` then measures them.
+    One catalog call, whatever the number of partitions. Row counts are those
+    that :func:`write_table` kept or ANALYZE made; ``num_rows`` is None if one
+    is not known, and the whole is None if the catalog lacks the size of any
+    partition; :func:`selection_stats` then measures them.
     """
     if spec.table is None:
         raise ValueError("stored statistics need a catalog table")
     if not table_schema(spark, spec).partition_keys:
         return stored_stats(spark, spec.table)
-    total = StoredStats(0, 0)
-    for row in list_partitions(spark, spec).toLocalIterator():
-        found = stored_stats(spark, spec.table, row.asDict())
-        if found is None:
-            return None
-        total = total + found
-    return total
+    _, size, rows = partition_totals(partition_listing(spark, spec))
+    return None if size is None else StoredStats(size, rows)
 
 
 def estimated_bytes(rows_read: Column, num_rows: Column, raw_size: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.units import convert_size
+from tablegate.operators.catalog import partition_listing as listing_of
 from tablegate.operators.stats import estimated_bytes as estimate
 from tablegate.operators.stats import file_stats as files_of
 from tablegate.operators.stats import partition_stats as stats_of
@@ -23,11 +24,12 @@ from tablegate.plans.registry import (
     query,
 )
 from tablegate.plans.text_queries import CUSTOMER, customer_text
+from tablegate.sinks.tables import Output, write_outputs
 from tablegate.sinks.text import append_statistics as append_lines
 from tablegate.sources.partitions import NULL_PARTITION
 from tablegate.sources.partitions import list_partitions as partitions_of
 from tablegate.sources.tables import read_table
-from tablegate.spec import TAB_SEPARATED, ReadSpec, quote_table
+from tablegate.spec import TAB_SEPARATED, ReadSpec, WriteSpec, quote_table
 from tablegate.workspace import scratch_folder
 
 PRIORITY = ("o_orderpriority",)
@@ -131,16 +133,26 @@ def stored_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE o_orderstatus IN ('F', 'P')"""
 )
 def stored_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog statistics of the selected partitions together."""
-    table = orders_by_status(spark, sf_dir)
-    spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION (ds) COMPUTE STATISTICS")
-    spec = ReadSpec(table=table, partition_filter="ds IN ('F', 'P')")
-    total = stored_selection_stats(spark, spec)
+    """Statistics of the selected partitions together, as the writes left them in the catalog: no ANALYZE, no scan."""
+    orders = given(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus")
+    table = create_table(spark, "orders_counted", "o_orderkey bigint, o_orderpriority string", ("ds",))
+    columns = ("o_orderkey", "o_orderpriority")
+    parts = {s: Output(WriteSpec(table, {"ds": s}), columns, F.col("o_orderstatus") == s) for s in "FOP"}
+    write_outputs(orders, parts)
+    total = stored_selection_stats(spark, ReadSpec(table=table, partition_filter="ds IN ('F', 'P')"))
     return spark.createDataFrame(
         [(total.num_rows, total.total_size > 0)], "num_rows bigint, has_size boolean"
     )
 
 
+@query("SELECT o_orderstatus AS ds, count(*) AS num_rows, true AS has_files FROM orders GROUP BY 1")
+def partition_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All partitions with what the catalog keeps of them, from one call."""
+    table = orders_by_status(spark, sf_dir)
+    spark.sql(f"ANALYZE TABLE {quote_table(table)} PARTITION (ds) COMPUTE STATISTICS")
+    return listing_of(spark, ReadSpec(table=table)).select("ds", "num_rows", (F.col("total_size") > 0).alias("has_files"))
+
+
 @query(
     """SELECT count(*) FILTER (WHERE o_orderstatus = 'F') / CAST(count(*) AS DOUBLE)
               * sum(length(o_orderpriority)) AS est_bytes FROM orders"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,8 +17,9 @@ from tablegate.plans.jobs import output_job
 from tablegate.plans.read_queries import lineitem_positions
 from tablegate.plans.registry import create_table, given, query
 from tablegate.sinks.checks import OutputCheckError
+from tablegate.sinks.tables import Output, write_outputs, write_table
 from tablegate.sinks.tables import write_profiles as write_named
-from tablegate.sinks.tables import write_table
+from tablegate.sources.partitions import list_partitions as partitions_of
 from tablegate.sources.tables import read_table
 from tablegate.spec import ReadSpec, WriteSpec, quote_table
 
@@ -291,6 +293,58 @@ def write_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, outputs)
 
 
+@query(
+    """SELECT 'edges' AS output, o_orderkey AS id, o_custkey AS other, o_totalprice AS weight, NULL AS ds
+       FROM orders
+       UNION ALL SELECT 'vertices', o_custkey, NULL, NULL, NULL FROM orders WHERE o_orderstatus <> 'P'
+       UNION ALL SELECT 'open', o_orderkey, NULL, NULL, 'O' FROM orders WHERE o_orderstatus = 'O'"""
+)
+def joint_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three outputs with columns and rows of their own, from one pass over their parent."""
+    orders = given(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    edges = create_table(spark, "edges", "id bigint, other bigint, weight double")
+    vertices = create_table(spark, "vertices", "id bigint")
+    opened = create_table(spark, "opened", "id bigint", ("ds",))
+    order, customer, status = F.col("o_orderkey").alias("id"), F.col("o_custkey"), F.col("o_orderstatus")
+    write_outputs(
+        orders,
+        {
+            "edges": Output(WriteSpec(edges), (order, customer.alias("other"), F.col("o_totalprice").alias("weight"))),
+            "vertices": Output(WriteSpec(vertices), (customer.alias("id"),), status != "P"),
+            "open": Output(WriteSpec(opened, {"ds": "O"}), (order,), status == "O"),
+        },
+    )
+    outputs = {"edges": edges, "vertices": vertices, "open": opened}
+    rows = [read_table(spark, ReadSpec(table=t)).withColumn("output", F.lit(n)) for n, t in outputs.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
+@query(
+    """SELECT 1 AS accepted, 2 AS rejected, 1 AS failed, count(*) AS num_rows, 1 AS num_partitions FROM supplier"""
+)
+def claimed_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three writers of one new partition at once, of which two are refused; a failing writer leaves no partition."""
+    rows = _suppliers(spark, sf_dir)
+    table = create_table(spark, "claimed", SUPPLIER, ("ds",))
+    bad = rows.withColumn("s_name", F.raise_error(F.lit("no name")).cast("string"))
+
+    def write(chosen: DataFrame, day: str) -> str:
+        try:
+            return _outcome(lambda: write_table(chosen, WriteSpec(table, {"ds": day})))
+        except Exception:  # noqa: BLE001
+            return "failed"
+
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [(rows, "2024-01-01")] * 3 + [(bad, "2024-01-02")]
+        outcomes = list(pool.map(lambda job: write(*job), jobs))
+    counts = read_table(spark, ReadSpec(table=table)).agg(F.count(F.lit(1)).alias("num_rows"))
+    partitions = partitions_of(spark, ReadSpec(table=table)).count()
+    return counts.select(
+        *(F.lit(outcomes.count(name)).alias(name) for name in ("accepted", "rejected", "failed")),
+        "num_rows", F.lit(partitions).alias("num_partitions"),
+    )
+
+
 @query(
     """SELECT f.format, c_custkey, c_name, c_acctbal FROM customer,
        (VALUES ('parquet'), ('orc'), ('json'), ('csv')) f(format)"""

@@ -1,11 +1,16 @@
 """Checks made on the driver before a write starts.
 
-A check and the write after it are not one transaction: two jobs that target
-the same partition at the same time can both pass.
+A check and the write after it are not one transaction. For a new partition
+the write therefore claims it too, and of two jobs that both passed the check
+one is refused; two jobs that fill one empty table can both pass.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -59,12 +64,44 @@ def check_layout(spark: SparkSession, spec: WriteSpec) -> tuple[TableSchema, dic
     return schema, values
 
 
-def check_partition_is_new(spark: SparkSession, spec: WriteSpec, values: dict[str, str]) -> None:
+def check_partition_is_new(spark: SparkSession, spec: WriteSpec, values: Mapping[str, str]) -> None:
+    if partition_exists(spark, spec, values):
+        raise _taken(spec, values)
+
+
+def partition_exists(spark: SparkSession, spec: WriteSpec, values: Mapping[str, str]) -> bool:
     found = spark.sql(f"SHOW PARTITIONS {quote_table(spec.table)} {partition_clause(values)}")
-    if not found.isEmpty():
-        raise OutputCheckError(
-            "partition_exists", f"table {spec.table} already has partition {values}"
-        )
+    return not found.isEmpty()
+
+
+def _taken(spec: WriteSpec, values: Mapping[str, str]) -> OutputCheckError:
+    return OutputCheckError("partition_exists", f"table {spec.table} already has partition {values}")
+
+
+def claim_partition(spark: SparkSession, spec: WriteSpec, values: Mapping[str, str]) -> None:
+    """Add an empty partition. The catalog lets only one of several writers do so; the others are refused."""
+    try:
+        spark.sql(f"ALTER TABLE {quote_table(spec.table)} ADD {partition_clause(values)}")
+    except AnalysisException as error:
+        if partition_exists(spark, spec, values):
+            raise _taken(spec, values) from error
+        raise
+
+
+def release_partition(spark: SparkSession, spec: WriteSpec, values: Mapping[str, str]) -> None:
+    """Take a claim back, with whatever rows were written under it."""
+    spark.sql(f"ALTER TABLE {quote_table(spec.table)} DROP IF EXISTS {partition_clause(values)}")
+
+
+@contextmanager
+def claimed_partition(spark: SparkSession, spec: WriteSpec, values: Mapping[str, str]) -> Iterator[None]:
+    """Hold a new partition while it is written; a failure takes it back. Until the commit it reads as empty."""
+    claim_partition(spark, spec, values)
+    try:
+        yield
+    except BaseException:
+        release_partition(spark, spec, values)
+        raise
 
 
 def check_table_is_empty(spark: SparkSession, spec: WriteSpec) -> None:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import Observation
@@ -10,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate import (
-    OutputCheckError, ReadSpec, WriteSpec, check_output, map_only_write, new_rows, output_job,
-    read_table, stored_selection_stats, stored_stats, write_profiles, write_table,
+    Output, OutputCheckError, ReadSpec, WriteSpec, check_output, map_only_write, new_rows, output_job,
+    partition_listing, read_table, stored_selection_stats, stored_stats, write_outputs, write_profiles, write_table,
 )
 from tablegate.functions.text import escape_path_value, partition_path, unescape_path_value
 from tablegate.functions.widening import WideningError
 from tablegate.plans import read_queries  # noqa: F401
 from tablegate.plans.registry import QUERIES, orders_by_status
+from tablegate.sinks import checks
 from tablegate.sinks.tables import MAX_RECORDS_PER_FILE
 from tablegate.sinks.text import write_delimited
 from tablegate.spec import TAB_SEPARATED
@@ -222,12 +225,13 @@ def test_map_only_job(spark):
 
 def test_stored_statistics(spark, by_day, rows):
     write_table(rows, WriteSpec(by_day, {"ds": "a/b"}))
-    assert stored_stats(spark, by_day, {"ds": "a/b"}) is None
+    kept = stored_stats(spark, by_day, {"ds": "a/b"})
+    assert kept.num_rows == 2 and kept.total_size > 0
     spark.sql(f"ANALYZE TABLE {by_day} PARTITION (ds) COMPUTE STATISTICS")
     stats = stored_stats(spark, by_day, {"DS": "a/b"})
-    assert stats.num_rows == 2 and stats.total_size > 0
-    assert (stats + stats).num_rows == 4
-    write_table(rows, WriteSpec(by_day, {"ds": "c"}))
+    assert stats == kept and (stats + stats).num_rows == 4
+    # written past this library: nothing is known of the whole
+    spark.sql(f"INSERT INTO {by_day} PARTITION (ds='c') VALUES (1, 1.0)")
     assert stored_selection_stats(spark, ReadSpec(table=by_day)) is None
     some = ReadSpec(table=by_day, partition_filter="ds <> 'c'")
     assert stored_selection_stats(spark, some) == stats
@@ -236,6 +240,124 @@ def test_stored_statistics(spark, by_day, rows):
     ).num_rows == 0
 
 
+def test_row_counts_follow_the_writes(spark, by_day, rows):
+    day = {"ds": "x{}y"}
+    write_table(rows, WriteSpec(by_day, day))
+    write_table(rows, WriteSpec(by_day, day), check=False)
+    assert stored_stats(spark, by_day, day).num_rows == 4
+    write_table(rows.limit(1), WriteSpec(by_day, day, replace_partition=True))
+    assert stored_stats(spark, by_day, day).num_rows == 1
+    write_table(rows.limit(0), WriteSpec(by_day, day, replace_partition=True))
+    assert stored_stats(spark, by_day, day).num_rows == 0
+    # rows on top of a number nobody knows
+    spark.sql(f"INSERT INTO {by_day} PARTITION (ds='c') VALUES (1, 1.0)")
+    write_table(rows, WriteSpec(by_day, {"ds": "c"}), check=False)
+    found = stored_stats(spark, by_day, {"ds": "c"})
+    assert found.num_rows is None and found.total_size > 0
+    # a count that ANALYZE made goes when a write makes it wrong
+    spark.sql(f"ANALYZE TABLE {by_day} PARTITION (ds) COMPUTE STATISTICS")
+    write_table(rows, WriteSpec(by_day, {"ds": "c"}), check=False)
+    assert stored_stats(spark, by_day, {"ds": "c"}).num_rows == 5
+    listed = {r["ds"]: (r["num_rows"], r["num_files"]) for r in partition_listing(spark, ReadSpec(table=by_day)).collect()}
+    assert listed["c"][0] == 5 and listed["c"][1] >= 3 and listed["x{}y"] == (0, 0)
+
+
+def test_one_catalog_call_for_any_number_of_partitions(spark, by_day, monkeypatch):
+    def calls():
+        seen = []
+        plain = type(spark).sql
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", lambda self, *a, **k: seen.append(a) or plain(self, *a, **k))
+            stored_selection_stats(spark, ReadSpec(table=by_day))
+        return len(seen)
+
+    spark.sql(f"ALTER TABLE {by_day} ADD PARTITION (ds='0')")
+    few = calls()
+    spark.sql(f"ALTER TABLE {by_day} ADD " + " ".join(f"PARTITION (ds='{i}')" for i in range(1, 200)))
+    assert calls() == few
+
+
+def test_of_two_writers_one_is_refused(spark, by_day, rows, monkeypatch):
+    """Both have passed the check before either claims."""
+    gate, plain = threading.Barrier(2), checks.check_partition_is_new
+    monkeypatch.setattr(checks, "check_partition_is_new", lambda *a: (plain(*a), gate.wait()))
+
+    def write(i):
+        try:
+            write_table(rows.withColumn("i1", F.lit(i)), WriteSpec(by_day, {"ds": "d"}))
+        except OutputCheckError as error:
+            return error.reason
+        return i
+
+    with ThreadPoolExecutor(2) as pool:
+        outcomes = list(pool.map(write, range(2)))
+    [winner] = [o for o in outcomes if o != "partition_exists"]
+    assert len(outcomes) == 2 and {r[0] for r in contents(spark, by_day)} == {winner}
+    assert len(contents(spark, by_day)) == 2
+
+
+def test_a_failed_writer_leaves_no_partition(spark, by_day, rows):
+    bad = rows.withColumn("i1", F.raise_error(F.lit("boom")).cast("int"))
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, WriteSpec(by_day, {"ds": "d"}))
+    assert spark.sql(f"SHOW PARTITIONS {by_day}").isEmpty()
+    write_table(rows, WriteSpec(by_day, {"ds": "d"}))
+    with pytest.raises(Exception, match="boom"):
+        write_table(bad, WriteSpec(by_day, {"ds": "d"}), check=False)
+    assert len(contents(spark, by_day)) == 2
+
+
+def test_profiles_are_taken_back_together(spark, table, by_day, rows):
+    write_table(rows, WriteSpec(by_day, {"ds": "old"}))
+    before = contents(spark, by_day)
+    bad = rows.withColumn("d1", F.raise_error(F.lit("boom")).cast("double"))
+    outputs = {
+        "replaced": (rows.limit(1), WriteSpec(by_day, {"ds": "old"}, replace_partition=True)),
+        "table": (rows, WriteSpec(table)),
+        "new": (rows, WriteSpec(by_day, {"ds": "new"})),
+        "bad": (bad, WriteSpec(by_day, {"ds": "bad"})),
+    }
+    with pytest.raises(Exception, match="boom"):
+        write_profiles(spark, outputs)
+    assert contents(spark, by_day) == before and contents(spark, table) == []
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {by_day}").collect()] == ["ds=old"]
+    outputs["bad"] = (rows, WriteSpec(by_day, {"ds": "bad"}))
+    write_profiles(spark, outputs)
+    assert len(contents(spark, by_day)) == 5 and len(contents(spark, table)) == 2
+
+
+def test_outputs_scan_their_parent_once(spark, table, by_day, rows, tmp_path):
+    rows.write.parquet(str(tmp_path / "p"))
+    parent = spark.read.parquet(str(tmp_path / "p"))
+    scans = spark.sparkContext.accumulator(0)
+    counted = parent.withColumn("i1", F.udf(lambda v: scans.add(1) or v, "int")("i1"))
+    outputs = {
+        "a": Output(WriteSpec(table)),
+        "b": Output(WriteSpec(by_day, {"ds": "one"}), ("i1",), "i1 = 1"),
+        "c": Output(WriteSpec(by_day, {"ds": "both"}), (F.col("d1"), (F.col("i1") + 1).alias("i1"))),
+    }
+    write_outputs(counted, outputs)
+    assert scans.value == 2
+    assert contents(spark, table) == [(1, 1.1), (2, 2.2)]
+    assert sorted(map(str, contents(spark, by_day, partition_filter="ds = 'one'"))) == ["(1, None, 'one')"]
+    assert contents(spark, by_day, partition_filter="ds = 'both'") == [(2, 1.1, "both"), (3, 2.2, "both")]
+
+
+def test_outputs_change_nothing_if_one_fails(spark, table, by_day, rows):
+    boom = F.when(F.col("i1") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("i1")).cast("int").alias("i1")
+    outputs = {"a": Output(WriteSpec(table)), "b": Output(WriteSpec(by_day, {"ds": "x"}), (boom,))}
+    with pytest.raises(Exception, match="boom"):
+        write_outputs(rows, outputs)
+    assert contents(spark, table) == [] and spark.sql(f"SHOW PARTITIONS {by_day}").isEmpty()
+    narrow = Output(WriteSpec(table), (F.col("d1").alias("i1"),))
+    with pytest.raises(WideningError):
+        write_outputs(rows, {"a": Output(WriteSpec(by_day, {"ds": "x"})), "b": narrow})
+    two = {"a": Output(WriteSpec(by_day, {"ds": "x"})), "b": Output(WriteSpec(by_day, {"ds": "x"}), where="i1 = 1")}
+    write_outputs(rows, two)
+    assert len(contents(spark, by_day)) == 3 and stored_stats(spark, by_day, {"ds": "x"}).num_rows == 3
+
+
+
 def test_partition_paths_match_the_directories_spark_makes(spark, tmp_path):
     values = [
         "plain", "a/b", "a=b", "100%", "x y", "a+b", "ü", "q\"'", "{[^]}", "a:b?c*d#e\\f", "t\tt", "\x7f",
