@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -70,8 +71,10 @@ def _insert(
     written = Observation()
     if values:
         rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    if spec.replace_partition and values:
-        _replace_partition(spark, spec, values, rows, written)
+    if values and (claimed or spec.replace_partition):
+        _swap_partition(spark, spec, values, rows)
+        if not claimed and not written.get["rows"]:
+            _empty_partition(spark, spec, values, rows.schema)
     else:
         # {} marks a parameter of the statement, so braces of names and values are doubled
         target_text = f"{quote_table(spec.table)} {partition_clause(values) if values else ''}"
@@ -81,27 +84,54 @@ def _insert(
         keep_row_count(spark, spec.table, values, written.get["rows"], added=not (claimed or spec.replace_partition))
 
 
-def _replace_partition(
-    spark: SparkSession, spec: WriteSpec, values: Mapping[str, str], rows: DataFrame, written: Observation
-) -> None:
-    """Swap one partition when the job commits; until then, and if it fails, the old rows stay.
+def _swap_partition(spark: SparkSession, spec: WriteSpec, values: Mapping[str, str], rows: DataFrame) -> None:
+    """Move new files into one partition when the job commits; until then, and if it fails, the old rows stay.
 
     Static overwriting deletes before it writes. Dynamic overwriting moves the
-    new files in at commit, but leaves a partition alone that gets no row; only
-    then, with nothing left to fail, is it emptied statically.
+    new files in at commit, but leaves a partition alone that gets no row. It
+    works in a folder of the job's own, so writers of several partitions of
+    one table do not meet; plain inserts share one under the table.
     """
     keyed = rows.select("*", *(F.lit(value).alias(key) for key, value in values.items()))
     names = {key.lower(): key for key in keyed.columns}
     order = [names[c.lower()] for c in spark.table(quote_table(spec.table)).columns]
-    with (
-        _setting(spark, MAX_RECORDS_PER_FILE, spec.max_records_per_file),
-        _setting(spark, OVERWRITE_MODE, "dynamic"),
-    ):
+    with _setting(spark, MAX_RECORDS_PER_FILE, spec.max_records_per_file), _dynamic_overwrite(spark):
         keyed.select(*(quote_name(c) for c in order)).write.mode("overwrite").insertInto(spec.table)
-    if not written.get["rows"]:
-        target = _literal(f"{quote_table(spec.table)} {partition_clause(values)}")
-        empty = spark.createDataFrame([], rows.schema)
-        spark.sql(f"INSERT OVERWRITE {target} SELECT * FROM {{rows}}", rows=empty)
+
+
+def _empty_partition(
+    spark: SparkSession, spec: WriteSpec, values: Mapping[str, str], schema: T.StructType
+) -> None:
+    """Empty a partition that gets no row, once nothing is left to fail."""
+    target = _literal(f"{quote_table(spec.table)} {partition_clause(values)}")
+    empty = spark.createDataFrame([], schema)
+    spark.sql(f"INSERT OVERWRITE {target} SELECT * FROM {{rows}}", rows=empty)
+
+
+_DYNAMIC: dict[str, list] = {}
+_DYNAMIC_LOCK = Lock()
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrite by partition, for as long as any write of this session needs it.
+
+    Were the first of two writes to put the setting back, the second would
+    replace the whole table.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _DYNAMIC_LOCK:
+        held = _DYNAMIC.setdefault(session, [0, spark.conf.get(OVERWRITE_MODE)])
+        held[0] += 1
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        with _DYNAMIC_LOCK:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.set(OVERWRITE_MODE, held[1])
+                del _DYNAMIC[session]
 
 
 def _literal(text: str) -> str:

@@ -296,6 +296,23 @@ def test_of_two_writers_one_is_refused(spark, by_day, rows, monkeypatch):
     assert len(contents(spark, by_day)) == 2
 
 
+def test_writers_of_several_partitions_do_not_meet(spark, by_day, rows):
+    """Side by side in one session, one of them failing; none deletes what another has or is writing."""
+    bad = rows.withColumn("i1", F.raise_error(F.lit("boom")).cast("int"))
+
+    def write(i):
+        try:
+            write_table(bad if i % 4 == 3 else rows.withColumn("i1", F.lit(i)), WriteSpec(by_day, {"ds": f"d{i}"}))
+        except Exception as error:  # noqa: BLE001
+            return "boom" in str(error)
+        return True
+
+    with ThreadPoolExecutor(4) as pool:
+        assert all(pool.map(write, range(12)))
+    assert {(r[0], r[2]) for r in contents(spark, by_day)} == {(i, f"d{i}") for i in range(12) if i % 4 != 3}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 def test_a_failed_writer_leaves_no_partition(spark, by_day, rows):
     bad = rows.withColumn("i1", F.raise_error(F.lit("boom")).cast("int"))
     with pytest.raises(Exception, match="boom"):
