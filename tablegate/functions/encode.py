@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.bind import bind
 from tablegate.functions.kinds import UnsupportedTypeError, is_primitive, kind_of
 from tablegate.spec import DelimitedFormat, quote_name
 
@@ -16,7 +17,9 @@ def encode(
     """Field text of ``value``; null becomes the null text.
 
     Strings holding a separator in use, or a line break, would come back as
-    other values. With ``guard`` they stop the job instead.
+    other values. So would a list whose only item has no text, and a
+    collection whose whole text is the null text. With ``guard`` they stop
+    the job instead.
     """
     kind = kind_of(dtype)
     null_text = F.lit(fmt.null_text)
@@ -56,9 +59,20 @@ def encode(
         text = F.when(value.isNotNull(), joined)
     else:
         raise UnsupportedTypeError(f"no text form for {dtype.simpleString()}")
+    if guard and kind in ("LIST", "MAP", "STRUCT"):
+        text = bind(text, lambda t: _guarded_whole(value, t, kind, fmt))
     return F.coalesce(text, null_text)
 
 
+def _guarded_whole(value: Column, text: Column, kind: str, fmt: DelimitedFormat) -> Column:
+    """Refuse the collections whose text stands for another value: null, or a list without items."""
+    unsafe = text == fmt.null_text
+    if kind == "LIST":
+        unsafe = unsafe | ((F.size(value) > 0) & (text == ""))
+    message = F.concat(F.lit(f"a {kind.lower()} would read back as another value; its text is: "), text)
+    return F.when(unsafe, F.raise_error(message).cast("string")).otherwise(text)
+
+
 def _is_text(dtype: T.ArrayType) -> bool:
     return isinstance(dtype.elementType, T.StringType)
 

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 NULL_WORD = "null"
 
+# Fixed value: directory name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 # Fixed value: characters written as %XX in a partition directory name.
 PATH_ESCAPED = "[\\x01-\\x1F\"#%'*/:=?\\\\\\x7F{\\[\\]^]"
 
@@ -60,9 +63,14 @@ def unescape_path_value(text: Column) -> Column:
 
 
 def partition_path(values: Mapping[str, Column]) -> Column:
-    """``k1=v1/k2=v2`` for the given keys, in the given (table key) order."""
-    parts = [
-        F.concat(F.lit(f"{key}="), escape_path_value(column.cast("string")))
-        for key, column in values.items()
-    ]
+    """``k1=v1/k2=v2`` for the given keys, in the given (table key) order.
+
+    A null or empty value has the name that stands for null, so a path has as
+    many levels as there are keys.
+    """
+    parts = []
+    for key, column in values.items():
+        text = F.nullif(column.cast("string"), F.lit(""))
+        name = F.coalesce(escape_path_value(text), F.lit(NULL_PARTITION))
+        parts.append(F.concat(F.lit(f"{key}="), name))
     return F.concat_ws("/", *parts)

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROW_BITS = 33
+FILE, ROW_INDEX = "_metadata.file_path", "_metadata.row_index"
 
 
 def limit_rows(df: DataFrame, count: int, in_place: bool = False) -> DataFrame:
@@ -19,10 +22,12 @@ def limit_rows(df: DataFrame, count: int, in_place: bool = False) -> DataFrame:
 
     ``in_place=True`` is for any larger count. Rows are counted when this is
     called, over growing groups of the scan's files, until they are enough;
-    later files are not read. Of the files so chosen whole partitions up to
-    the cut-off are kept, and part of the one it falls in, where they are.
-    The chosen files are read again for that and must be cut alike, so ``df``
-    must be a scan with narrow steps on top, over files that do not change in
+    later files are not read. Files that number their rows (Parquet) are
+    counted from their footers, up to conditions on columns, and the rows of
+    the first files are then read once: whole files, and of the last one the
+    rows up to a number. Of other files the chosen ones are counted, then
+    counted by partition, then read, and must be cut alike each time. ``df``
+    is a scan with narrow steps on top, over files that do not change in
     between. A frame that reads no files is counted whole.
     """
     if count < 0:
@@ -31,11 +36,15 @@ def limit_rows(df: DataFrame, count: int, in_place: bool = False) -> DataFrame:
         return df.limit(count)
     if count == 0:
         return df.where(F.lit(False))
-    return _first_rows(_enough_files(df, count), count)
+    try:
+        df.select(ROW_INDEX)
+    except AnalysisException:
+        return _first_rows(_enough_files(df, count), count)
+    return _numbered_rows(df, count)
 
 
-def _enough_files(df: DataFrame, count: int) -> DataFrame:
-    """``df`` over its first files by path, so many that they hold ``count`` rows (all if fewer).
+def _groups(df: DataFrame) -> Iterator[tuple[Column, bool]]:
+    """Conditions that choose the files of ``df`` by path, group after group; whether it is the last.
 
     Groups start at one file per core and double what was taken before. A
     range of paths prunes files when the scan lists them. Ranges that fit the
@@ -43,16 +52,54 @@ def _enough_files(df: DataFrame, count: int) -> DataFrame:
     """
     # rows name their file without the empty host of a listed one
     files = sorted(re.sub("^([a-z]+):///", r"\1:/", name) for name in df.inputFiles())
-    path = F.col("_metadata.file_path")
-    rows, taken = 0, 0
-    while taken < len(files) and rows < count:
+    path = F.col(FILE)
+    taken = 0
+    while taken < len(files):
         upper = min(len(files), max(2 * taken, df.sparkSession.sparkContext.defaultParallelism))
-        group = path <= files[upper - 1]
-        if taken:
-            group = group & (path > files[taken - 1])
-        rows += df.where(group).count()
+        last = upper == len(files)
+        low = path > files[taken - 1] if taken else F.lit(True)
+        yield (low if last else low & (path <= files[upper - 1])), last
         taken = upper
-    return df.where(path <= files[taken - 1]) if taken < len(files) else df
+
+
+def _numbered_rows(df: DataFrame, count: int) -> DataFrame:
+    """The first ``count`` rows by file and by number in the file."""
+    before = 0
+    for group, _ in _groups(df):
+        per_file = df.where(group).groupBy(F.col(FILE).alias("file")).agg(
+            F.count(F.lit(1)).alias("rows"), F.max(ROW_INDEX).alias("last")
+        )
+        # one row per file of the group
+        running = per_file.withColumn("upto", F.sum("rows").over(Window.orderBy("file")))
+        found = running.agg(
+            F.coalesce(F.max("upto"), F.lit(0)).alias("rows"),
+            F.min(F.when(F.col("upto") >= count - before, F.struct("upto", "file", "rows", "last"))).alias("cut"),
+        ).first()
+        if found["cut"] is None:
+            before += found["rows"]
+            continue
+        cut = found["cut"]
+        inside = count - before - (cut["upto"] - cut["rows"])
+        number = inside - 1
+        if cut["last"] + 1 != cut["rows"]:
+            # some rows of the file were left out: the number of the last one wanted
+            numbers = df.where(F.col(FILE) == cut["file"]).select(F.col(ROW_INDEX).alias("n"))
+            number = numbers.sort("n").limit(inside).agg(F.max("n")).first()[0]
+        # the first condition alone keeps later files closed
+        first = df.where(F.col(FILE) <= cut["file"])
+        return first.where((F.col(FILE) < cut["file"]) | (F.col(ROW_INDEX) <= number))
+    return df
+
+
+def _enough_files(df: DataFrame, count: int) -> DataFrame:
+    """``df`` over its first files by path, so many that they hold ``count`` rows (all if fewer)."""
+    rows, kept = 0, F.lit(False)
+    for group, last in _groups(df):
+        kept = kept | group
+        rows += df.where(group).count()
+        if rows >= count and not last:
+            return df.where(kept)
+    return df
 
 
 def _first_rows(df: DataFrame, count: int) -> DataFrame:

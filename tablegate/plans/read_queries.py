@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,18 +97,33 @@ def read_partition_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT l_returnflag, count(*) AS num_rows, CAST(sum(l_partkey) AS BIGINT) AS key_sum
-       FROM lineitem GROUP BY 1"""
+    """SELECT s.splits, l_returnflag, count(*) AS num_rows, CAST(sum(l_partkey) AS BIGINT) AS key_sum
+       FROM lineitem, (VALUES (1), (6), (16)) s(splits) GROUP BY 1, 2"""
 )
 def read_with_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from so many splits of the text of a table, as counted by the scan."""
     spec = ReadSpec(
-        path=f"{sf_dir}/lineitem.parquet", columns=("l_returnflag", "l_partkey"), num_splits=16
-    )
-    return (
-        read_table(spark, spec)
-        .groupBy("l_returnflag")
-        .agg(F.count(F.lit(1)).alias("num_rows"), F.sum("l_partkey").alias("key_sum"))
-    )
+        path=lineitem_text(spark, sf_dir), format="delimited", delimited=TAB_SEPARATED,
+        schema=T.DataType.fromDDL("l_returnflag string, l_partkey bigint"),
+    )
+    reads = []
+    for splits in (1, 6, 16):
+        rows = read_table(spark, replace(spec, num_splits=splits))
+        found = F.lit(rows.rdd.getNumPartitions()).alias("splits")
+        reads.append(
+            rows.groupBy("l_returnflag")
+            .agg(F.count(F.lit(1)).alias("num_rows"), F.sum("l_partkey").alias("key_sum"))
+            .select(found, "l_returnflag", "num_rows", "key_sum")
+        )
+    return reduce(DataFrame.unionByName, reads)
+
+
+@layout
+def lineitem_text(spark: SparkSession, sf_dir: str) -> str:
+    """Path of two columns of ``lineitem`` as delimited text, in files of about equal size."""
+    path = scratch_folder(spark)
+    write_delimited(given(spark, sf_dir, "lineitem", "l_returnflag", "l_partkey").repartition(4), path, TAB_SEPARATED)
+    return path
 
 
 @query("SELECT DISTINCT o_orderstatus AS ds FROM orders WHERE o_orderstatus <> 'P'")

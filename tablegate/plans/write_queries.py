@@ -185,13 +185,17 @@ def strict_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT DISTINCT 'lang=' || lang || '/source=' || source AS path FROM documents"""
+    """SELECT DISTINCT 'lang=' || lang || '/source=' || CASE WHEN doc_id % 5 IN (0, 1)
+              THEN '__HIVE_DEFAULT_PARTITION__' ELSE source END AS path FROM documents"""
 )
 def partition_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = given(spark, sf_dir, "documents", "lang", "source").distinct()
+    """Directory of each pair of keys; null and empty values have a level of their own."""
+    documents = given(spark, sf_dir, "documents", "doc_id", "lang", "source")
+    nothing = F.when(F.col("doc_id") % 5 == 0, None).when(F.col("doc_id") % 5 == 1, "").otherwise(F.col("source"))
+    keys = documents.select("lang", nothing.alias("source")).distinct()
     return keys.select(
         path_of({"lang": F.col("lang"), "source": F.col("source")}).alias("path")
-    )
+    ).distinct()
 
 
 def _outcome(write: Callable[[], None]) -> str:

@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.functions.text import unescape_path_value
+from tablegate.functions.text import NULL_PARTITION, unescape_path_value
 from tablegate.operators.schema import table_schema
 from tablegate.spec import ReadSpec, quote_name, quote_string, quote_table
 
-# Fixed value: directory name of a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 
 def check_partition_filter(spark: SparkSession, keys: Iterable[str], predicate: str) -> None:
     """Resolve the predicate on the partition keys alone.

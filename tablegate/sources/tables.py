@@ -19,6 +19,9 @@ from tablegate.sources.partitions import NULL_PARTITION, check_partition_filter,
 from tablegate.spec import DelimitedFormat, ReadSpec, quote_name
 
 
+MOST_BYTES = 1 << 62  # of a split: the number of splits alone decides
+
+
 def read_table(
     spark: SparkSession, spec: ReadSpec, observation: Observation | None = None
 ) -> DataFrame:
@@ -34,6 +37,9 @@ def read_table(
         spark = session_with_splits(spark, spec.num_splits)
     schema, scan = open_table(spark, spec)
     rows = choose_partitions(spark, scan, schema, spec.partition_filter)
+    if spec.num_splits is not None:
+        # cutting file by file leaves a few splits more; this puts neighbours together, without a shuffle
+        rows = rows.coalesce(spec.num_splits)
     data, keys = output_columns(schema, spec.columns)
     wanted = wanted_order(spec, data, keys)
     if spec.format == "delimited" or spec.text_columns:
@@ -128,9 +134,12 @@ def choose_partitions(
 def session_with_splits(spark: SparkSession, num_splits: int) -> SparkSession:
     """Session of the same application whose scans aim at ``num_splits`` input splits.
 
-    The split size is a session setting, and this keeps it away from the
-    caller's session. No rows are shuffled to reach the count; splits larger
-    than ``spark.sql.files.maxPartitionBytes`` are still cut further.
+    The scan divides the bytes of the files it chose by that number, and no
+    other bound applies, so there can be fewer splits than by default as well
+    as more. Small files are put together up to that size. A file that cannot
+    be cut stays whole, and a split without a row group's middle has no rows.
+    These are session settings, and this keeps them away from the caller's
+    session. No rows are shuffled to reach the count.
     """
     if num_splits < 1:
         raise ValueError("num_splits is at least 1")
@@ -142,6 +151,7 @@ def session_with_splits(spark: SparkSession, num_splits: int) -> SparkSession:
             other.conf.set(key, value)
     other.conf.set("spark.sql.files.minPartitionNum", str(num_splits))
     other.conf.set("spark.sql.files.openCostInBytes", "1")
+    other.conf.set("spark.sql.files.maxPartitionBytes", str(MOST_BYTES))
     return tune_session(other)
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate import (
-    ID_ID_SIM, ID_ID_WEIGHT, as_rows, data_columns, first_long_long_double, format_lines, get_map,
-    limit_rows, null_sentinels, require_type, rows_from_positions,
+    ID_ID_SIM, ID_ID_WEIGHT, ReadSpec, as_rows, data_columns, first_long_long_double, format_lines, get_map,
+    limit_rows, null_sentinels, read_table, require_type, rows_from_positions,
 )
 from tablegate.functions.widening import WideningError
 from tablegate.operators.access import ColumnTypeError
@@ -131,6 +131,29 @@ def test_large_limit_is_exact(spark, tmp_path_factory, count):
     assert limit_rows(source, count).count() == min(count, 1000)
 
 
+@pytest.mark.parametrize("count", [1, 40, 99, 101, 333, 334])
+def test_large_limit_of_chosen_rows(spark, tmp_path, count):
+    """Conditions on columns, splits of a set number, and files without a row that passes."""
+    path = str(tmp_path / "t")
+    spark.range(1000).repartition(5).write.parquet(path)
+    spark.range(20).where("id % 3 > 0").coalesce(1).write.mode("append").parquet(path)
+    source = read_table(spark, ReadSpec(path=path, num_splits=3)).where("id % 3 = 0 AND id < 1000")
+    ids = [r.id for r in limit_rows(source, count, in_place=True).collect()]
+    assert len(ids) == len(set(ids)) == count and all(i % 3 == 0 for i in ids)
+
+
+def test_large_limit_reads_the_data_once(spark, tmp_path):
+    """Counting takes footers alone: no column is read until the rows are."""
+    path = str(tmp_path / "t")
+    spark.range(10_000).select("id", F.col("id").cast("string").alias("s")).repartition(4).write.parquet(path)
+    scans = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda v: scans.add(1) or v, "string")
+    limited = limit_rows(spark.read.parquet(path).withColumn("s", counted("s")), 6000, in_place=True)
+    assert scans.value == 0
+    assert limited.select(F.max("s"), F.count("s")).first()[1] == 6000
+    assert scans.value == 6000
+
+
 def test_negative_limit_is_refused(spark):
     with pytest.raises(ValueError, match="negative"):
         limit_rows(spark.range(1), -1)

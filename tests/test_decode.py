@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.functions.decode import decode, split_pattern, undecodable
+from tablegate.functions.encode import encode
 from tablegate.sources.delimited import decode_lines
 from tablegate.spec import TAB_SEPARATED, DelimitedFormat
 
@@ -226,3 +227,38 @@ def test_decoding_stays_in_generated_code(spark, tmp_path):
     )
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and plan.startswith("*(1)")
+
+
+SAME = [
+    ("array<string>", [[], ["", ""], ["a"], ["", None], None]),
+    ("array<int>", [[], [1], [None, None], [1, None], None]),
+    ("array<array<int>>", [[], [[], []], [[1], []], None]),
+    ("map<string,int>", [{}, {"": 1}, {"a": None}, None]),
+    ("struct<s:string>", [("",), ("a",), None]),
+    ("struct<s:string,i:int>", [(None, None), ("", 1), None]),
+    ("array<struct<s:string,i:int>>", [[], [(None, None)], [("", 1)], None]),
+]
+OTHER = [
+    ("array<string>", [""]), ("array<string>", [None]), ("array<int>", [None]), ("array<array<int>>", [[]]),
+    ("array<array<int>>", [[1], [None]]), ("struct<i:int>", (None,)), ("struct<s:string>", (None,)),
+    ("struct<a:array<int>>", ([None],)),
+]
+
+
+@pytest.mark.parametrize(("kind", "values"), SAME)
+def test_guarded_collections_read_back_as_they_were(spark, kind, values):
+    dtype = T.DataType.fromDDL(kind)
+    frame = spark.createDataFrame([(v,) for v in values], T.StructType().add("v", dtype))
+    fmt = DelimitedFormat()
+    back = frame.select("v", encode(F.col("v"), dtype, fmt).alias("t")).select("v", decode(F.col("t"), dtype, fmt).alias("w"))
+    for row in back.collect():
+        assert row["v"] == row["w"]
+
+
+@pytest.mark.parametrize(("kind", "value"), OTHER)
+def test_collections_that_would_read_back_as_others_are_refused(spark, kind, value):
+    dtype = T.DataType.fromDDL(kind)
+    frame = spark.createDataFrame([(value,)], T.StructType().add("v", dtype))
+    with pytest.raises(Exception, match="another value"):
+        frame.select(encode(F.col("v"), dtype, DelimitedFormat())).collect()
+    assert frame.select(encode(F.col("v"), dtype, DelimitedFormat(), guard=False)).count() == 1

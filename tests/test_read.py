@@ -197,11 +197,11 @@ def test_more_splits_without_a_shuffle(spark, tmp_path):
     text_file(tmp_path / "t", [f"{i}\t{i}.5" for i in range(20_000)])
     before = spark.conf.get("spark.sql.files.openCostInBytes")
     rows = read_table(spark, delimited(path, num_splits=12))
-    assert 10 <= rows.rdd.getNumPartitions() <= 14
+    assert rows.rdd.getNumPartitions() == 12
     assert "Exchange" not in plan_of(rows)
     assert rows.agg(F.sum("i1")).first()[0] == sum(range(20_000))
     few = read_table(spark, delimited(path, num_splits=2))
-    assert few.rdd.getNumPartitions() <= 3
+    assert few.rdd.getNumPartitions() == 2
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
     # frames of the two sessions still combine
     assert rows.join(read_table(spark, delimited(path)), "i1").count() == 20_000
@@ -209,6 +209,21 @@ def test_more_splits_without_a_shuffle(spark, tmp_path):
         read_table(spark, delimited(path, num_splits=0))
 
 
+def test_fewer_splits_than_by_default(spark, tmp_path):
+    for i in range(9):
+        text_file(tmp_path / "t" / f"ds={i % 3}", [])
+        (tmp_path / "t" / f"ds={i % 3}" / f"p{i}.txt").write_text("".join(f"{j}\t1.5\n" for j in range(100 * (i + 1))))
+    spec = delimited(str(tmp_path / "t"), partition_keys=("ds",))
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    assert read_table(small, spec).rdd.getNumPartitions() > 30
+    for splits in (1, 2, 6, 16):
+        rows = read_table(small, dataclasses.replace(spec, num_splits=splits))
+        assert rows.rdd.getNumPartitions() == splits and rows.count() == 4500
+        some = read_table(small, dataclasses.replace(spec, num_splits=splits, partition_filter="ds = '1'"))
+        assert some.rdd.getNumPartitions() == splits and some.count() == 1500
+
+
 def test_unreadable_files_are_skipped_only_on_request(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(5).write.parquet(f"{path}/ds=good")
