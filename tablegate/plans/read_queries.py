@@ -32,6 +32,7 @@ from tablegate.plans.registry import (
     query,
 )
 from tablegate.sinks.text import write_delimited, write_lines
+from tablegate.sources.faults import skipped_files as skipped_of
 from tablegate.sources.formats import read_by_format
 from tablegate.sources.partitions import list_files
 from tablegate.sources.partitions import list_partitions as partitions_of
@@ -319,13 +320,14 @@ def mixed_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @layout
 def orders_with_bad_files(spark: SparkSession, sf_dir: str) -> str:
-    """Path of ``orders`` by status where partition P holds text instead of Parquet."""
+    """Path of ``orders`` by status where partition P holds text instead of Parquet, and E a file without rows."""
     path = scratch_folder(spark)
     orders = given(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
     orders = orders.withColumnRenamed("o_orderstatus", "ds")
     orders.where("ds <> 'P'").hint("rebalance", "ds").write.partitionBy("ds").parquet(path)
     broken = orders.where("ds = 'P'").select(F.col("o_orderkey").cast("string"))
     broken.write.text(f"{path}/ds=P")
+    orders.where(F.lit(False)).drop("ds").coalesce(1).write.parquet(f"{path}/ds=E")
     return path
 
 
@@ -340,6 +342,20 @@ def skip_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, spec)
 
 
+@query(
+    """SELECT DISTINCT o_orderstatus AS ds, true AS unreadable, 0::BIGINT AS rows_read FROM orders WHERE o_orderstatus = 'P'
+       UNION ALL SELECT 'E', false, 0"""
+)
+def skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which partitions lost files to ``skip_unreadable``, and which merely hold a file without rows."""
+    spec = ReadSpec(
+        path=orders_with_bad_files(spark, sf_dir), schema=T.DataType.fromDDL("o_orderkey bigint"), partition_keys=("ds",)
+    )
+    return skipped_of(spark, spec).groupBy("ds").agg(
+        F.bool_or(F.col("reason") == "unreadable").alias("unreadable"), F.sum("rows_read").alias("rows_read")
+    )
+
+
 @query(
     """SELECT 'vertex' AS profile, count(*) AS num_rows, CAST(sum(c_custkey) AS BIGINT) AS key_sum
        FROM customer

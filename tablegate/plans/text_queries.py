@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tablegate.operators.observe import observe_success, read_metrics
 from tablegate.plans.registry import given, layout, query
 from tablegate.sinks.text import write_delimited, write_lines
+from tablegate.sources.faults import split_malformed
 from tablegate.sources.tables import read_table
 from tablegate.spec import TAB_SEPARATED, ReadSpec
 from tablegate.workspace import scratch_folder
@@ -259,6 +260,60 @@ def observed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@layout
+def malformed_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Path of ``lineitem`` as text by return flag: keys that are no number, quantities beyond it, a bad list item."""
+    rows = given(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
+    number, key = F.col("l_linenumber"), F.col("l_orderkey")
+    fields = (
+        F.when(key % 7 == 0, F.concat(F.lit("k"), key)).otherwise(key.cast("string")),
+        F.when(number == 3, "1.5.0").otherwise(F.col("l_quantity").cast("string")),
+        F.concat_ws(",", F.col("l_partkey"), F.when(key % 11 == 0, "-").otherwise("5")),
+    )
+    path = scratch_folder(spark)
+    lines = rows.select(F.concat_ws("\t", *fields).alias("line"), F.col("l_returnflag").alias("ds"))
+    lines.hint("rebalance", "ds").write.partitionBy("ds").text(path)
+    return path
+
+
+MALFORMED = "l_orderkey bigint, l_quantity double, numbers array<bigint>"
+
+
+@query(
+    """WITH t AS (
+         SELECT l_returnflag AS ds, l_orderkey % 7 = 0 AS bad_key, l_linenumber = 3 AS bad_quantity, l_orderkey % 11 = 0 AS bad_list,
+                CASE WHEN l_orderkey % 7 = 0 THEN 'k' ELSE '' END || l_orderkey AS key_text,
+                CASE WHEN l_linenumber = 3 THEN '1.5.0' ELSE CAST(l_quantity AS VARCHAR) END AS quantity_text,
+                l_partkey || CASE WHEN l_orderkey % 11 = 0 THEN ',-' ELSE ',5' END AS list_text FROM lineitem)
+       SELECT ds, key_text || chr(9) || quantity_text || chr(9) || list_text AS line,
+              concat_ws(' ', CASE WHEN bad_key THEN 'l_orderkey:bigint:' || key_text END,
+                        CASE WHEN bad_quantity THEN 'l_quantity:double:' || quantity_text END,
+                        CASE WHEN bad_list THEN 'numbers:array<bigint>:' || list_text END) AS faults
+       FROM t WHERE bad_key OR bad_quantity OR bad_list"""
+)
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with a malformed value and what is wrong with it, set apart in the pass that decodes the others."""
+    spec = _text(malformed_lines(spark, sf_dir), MALFORMED, partition_keys=("ds",))
+    _, bad = split_malformed(spark, spec)
+    return bad.select("ds", "line", _fault_text(F.col("faults")).alias("faults"))
+
+
+def _fault_text(faults: Column) -> Column:
+    return F.array_join(F.transform(faults, lambda f: F.concat_ws(":", f["column"], f["type"], f["text"])), " ")
+
+
+@query(
+    """SELECT l_orderkey, l_quantity, l_partkey + 5 AS total, l_returnflag AS ds FROM lineitem
+       WHERE l_orderkey % 7 <> 0 AND l_linenumber <> 3 AND l_orderkey % 11 <> 0"""
+)
+def sound_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other side: the rows without a malformed value, decoded."""
+    spec = _text(malformed_lines(spark, sf_dir), MALFORMED, partition_keys=("ds",))
+    good, _ = split_malformed(spark, spec)
+    total = F.aggregate("numbers", F.lit(0).cast("long"), lambda a, b: a + b)
+    return good.select("l_orderkey", "l_quantity", total.alias("total"), "ds")
+
+
 @query(
     """SELECT count(*) AS attempts, count(*) FILTER (WHERE c_custkey % 10 <> 0) AS successes
        FROM customer"""

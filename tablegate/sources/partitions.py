@@ -55,9 +55,12 @@ def list_partitions(spark: SparkSession, spec: ReadSpec) -> DataFrame:
     return partitions
 
 
-def list_files(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> DataFrame:
+def list_files(spark: SparkSession, path: str, keys: Iterable[str] = (), *, uri: bool = False) -> DataFrame:
     """One row per file under ``path``: partition keys, ``file_path``, ``file_size``.
 
+    With ``uri`` there is ``file_uri`` too, the name that rows read from the
+    file have for it.
+
     The content column is not selected, so the files stay closed. The scan is
     cut by file size as if they were read; coalescing gives each task many
     files to name instead of one.
@@ -73,8 +76,9 @@ def list_files(spark: SparkSession, path: str, keys: Iterable[str] = ()) -> Data
     )
     files = spark.read.format("binaryFile").schema(schema).load(path)
     return files.coalesce(spark.sparkContext.defaultParallelism).select(
-        *map(quote_name, keys), F.col("path").alias("file_path"), F.col("length").alias("file_size")
-    )
+        *map(quote_name, keys), F.col("path").alias("file_path"), F.col("length").alias("file_size"),
+        *([F.col("_metadata.file_path").alias("file_uri")] if uri else []),
+    )
 
 
 def match_partition_spec(keys: Iterable[str], given: Mapping[str, str]) -> dict[str, str]:

@@ -1,0 +1,102 @@
+"""Rows and files that a read could not use."""
+
+from __future__ import annotations
+
+import gzip
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablegate import TAB_SEPARATED, ReadSpec, malformed_rows, read_table, skipped_files, split_malformed
+
+parse = T.DataType.fromDDL
+
+
+@pytest.fixture
+def text(spark, tmp_path):
+    lines = {"a": ["1\tx\t1,2", "q\tx\t1,z", "\\N\t\\N\t\\N", "2"], "b c": ["99999999999\ty\t3", "3\ty\t"]}
+    for ds, held in lines.items():
+        (tmp_path / "t" / f"ds={ds}").mkdir(parents=True)
+        (tmp_path / "t" / f"ds={ds}" / "part-0.txt").write_text("".join(f"{line}\n" for line in held))
+    return ReadSpec(
+        path=str(tmp_path / "t"), format="delimited", delimited=TAB_SEPARATED, partition_keys=("ds",),
+        schema=parse("i int, keys string, l array<int>"),
+    )
+
+
+BAD = {
+    ("a", "q\tx\t1,z"): [("i", "int", "q"), ("l", "array<int>", "1,z")],
+    ("b c", "99999999999\ty\t3"): [("i", "int", "99999999999")],
+}
+
+
+def report(frame):
+    return {(r["ds"], r["line"]): [tuple(f) for f in r["faults"]] for r in frame.collect()}
+
+
+def test_malformed_rows_with_their_place(spark, text):
+    rows = malformed_rows(spark, text)
+    assert report(rows) == BAD
+    assert all(r["file"].endswith("part-0.txt") for r in rows.collect())
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert report(malformed_rows(spark, replace(text, columns=("keys", "l")))) == {("a", "q\tx\t1,z"): [("l", "array<int>", "1,z")]}
+    assert report(malformed_rows(spark, replace(text, partition_filter="ds > 'a'"))).keys() == {("b c", "99999999999\ty\t3")}
+    with pytest.raises(ValueError, match="text"):
+        malformed_rows(spark, ReadSpec(path="x"))
+
+
+def test_each_row_is_in_one_of_two_outputs(spark, text):
+    good, bad = split_malformed(spark, text)
+    assert report(bad) == BAD
+    every = read_table(spark, text)
+    assert good.schema == every.schema
+    expected = [tuple(r) for r in every.collect() if (r["ds"], r["i"]) in {("a", 1), ("a", 2), ("b c", 3)} or r["keys"] is None]
+    assert sorted(map(str, map(tuple, good.collect()))) == sorted(map(str, expected))
+
+
+def test_malformed_columnar_text(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "x"), ("1x", "y"), ("\\N", "z")], "i string, s string")
+    rows.write.parquet(str(tmp_path / "t"))
+    spec = ReadSpec(path=str(tmp_path / "t"), schema=parse("i int, s string"), text_columns=True, delimited=TAB_SEPARATED)
+    [row] = malformed_rows(spark, spec).collect()
+    assert row["line"] is None and [tuple(f) for f in row["faults"]] == [("i", "int", "1x")]
+    good, bad = split_malformed(spark, spec)
+    assert sorted(r["s"] for r in good.collect()) == ["x", "z"] and bad.count() == 1
+
+
+def test_skipped_parquet_files(spark, tmp_path):
+    path = tmp_path / "t"
+    for name in ("good", "empty", "x{1}y"):
+        spark.range(0 if name == "empty" else 5).coalesce(1).write.parquet(str(path / f"ds={name}"))
+    (path / "ds=bad").mkdir()
+    (path / "ds=bad" / "text.parquet").write_text("no parquet at all")
+    (path / "ds=bad" / "zero.parquet").write_bytes(b"")
+    # the footer is sound, the data are not
+    spark.range(1000).select(F.col("id"), F.rand(1).alias("r")).coalesce(1).write.parquet(str(path / "ds=torn"))
+    [torn] = (path / "ds=torn").glob("*.parquet")
+    held = bytearray(torn.read_bytes())
+    held[4:2000] = bytes(1996)
+    torn.write_bytes(bytes(held))
+    for crc in path.glob("*/.*.crc"):
+        crc.unlink()
+    spec = ReadSpec(path=str(path), schema=parse("id bigint"), partition_keys=("ds",))
+    found = {(r["ds"], r["file_path"].rsplit("/", 1)[1].split("-")[0]): (r["reason"], r["rows_read"]) for r in skipped_files(spark, spec).collect()}
+    assert found == {
+        ("empty", "part"): ("empty", 0), ("bad", "text.parquet"): ("unreadable", 0),
+        ("torn", "part"): ("unreadable", 0),
+    }
+    some = ReadSpec(path=str(path), schema=parse("id bigint"), partition_keys=("ds",), partition_filter="ds IN ('good', 'x{1}y')")
+    assert skipped_files(spark, some).isEmpty()
+
+
+def test_skipped_text_files(spark, tmp_path):
+    for i, sound in enumerate((True, False, True)):
+        (tmp_path / "t" / f"ds={i}").mkdir(parents=True)
+        held = gzip.compress(b"1\n2\n")
+        (tmp_path / "t" / f"ds={i}" / "p.txt.gz").write_bytes(held if sound else b"xx" + held)
+    spec = ReadSpec(path=str(tmp_path / "t"), format="delimited", schema=parse("i int"), partition_keys=("ds",))
+    assert [(r["ds"], r["reason"]) for r in skipped_files(spark, spec).collect()] == [("1", "unreadable")]
+    with pytest.raises(ValueError, match="path"):
+        skipped_files(spark, ReadSpec(table="t"))

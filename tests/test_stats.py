@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate import (
-    TAB_SEPARATED, DelimitedFormat, ReadSpec, append_statistics, convert_size, file_stats,
+    TAB_SEPARATED, DelimitedFormat, ReadSpec, append_statistics, convert_size, drain_watched, file_stats,
     input_benchmark, observe_success, partition_stats, read_metrics, read_table, selection_stats,
     sweep, tail, tail_parse_only, write_delimited, write_lines,
 )
@@ -237,3 +238,17 @@ def test_hot_partition_is_spread_over_files(spark, tmp_path):
     )
     counts = read_table(spark, spec).groupBy("ds").count()
     assert {r.ds: r["count"] for r in counts.collect()}["-1"] == 180_000
+
+
+def test_progress_while_a_read_runs(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 800, numPartitions=8).write.parquet(path)
+    slow = F.udf(lambda v: time.sleep(0.004) or v, "long")
+    rows = read_table(spark, ReadSpec(path=path, num_splits=24)).select(slow("id"))
+    seen = []
+    last = drain_watched(rows, seen.append, every=0.1)
+    counts = [p.rows_read for p in seen]
+    assert counts == sorted(counts) and len({c for c in counts if 0 < c < 800}) > 0
+    assert last.rows_read == 800 and last.tasks == last.tasks_done and last.bytes_read > 0
+    with pytest.raises(Exception, match="boom"):
+        drain_watched(rows.select(F.raise_error(F.lit("boom"))), seen.append)
