@@ -15,6 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from tablegate.functions.bind import bind
+from tablegate.llm.scans import count_below, part_of, pieces_of, running_max, running_sum
+
 # The kinds, in the order in which spans of one start are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("number", "secret", "address")
@@ -29,8 +32,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "number": r"[0-9](?:[\x20-]?[0-9])++",
-    "secret": r"(?<![A-Za-z0-9])(?=[A-Za-z]{0,128}+[0-9])[A-Za-z0-9]{24,128}+(?![A-Za-z0-9])",
-    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}+ ?[\[(]dot[\])] ?[A-Za-z]{2,24}",
+    "secret": r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])[A-Za-z0-9]{24,}+",
+    "address": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++ ?[\[(]dot[\])] ?[A-Za-z]{2,}+",
 }
 # A text without this cannot hold the pattern; a cheap test before the regex.
 NEEDS = {
@@ -95,27 +98,29 @@ def found(text: Column, kind: str) -> Column:
     """All matches: array of (kind, start, end, span, before), code points, end exclusive.
 
     Splitting at a pattern gives the gaps, extracting it the matches; their
-    lengths add up to positions. Only texts that can hold the pattern pay.
+    running lengths are positions. Each is made once per text, and only for
+    texts that can hold the pattern; the time is linear in the matches.
     """
     pattern = PATTERNS[kind]
+
+    def place(matches: Column, gaps: Column) -> Column:
+        steps = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+        return bind(
+            running_sum(steps),
+            lambda ends: F.transform(
+                matches,
+                lambda m, i: F.struct(
+                    F.lit(kind).alias("kind"),
+                    (F.get(ends, i) - F.length(m)).alias("start"),
+                    F.get(ends, i).alias("end"),
+                    m.alias("span"),
+                    F.lower(F.right(F.get(gaps, i), F.lit(WINDOW))).alias("before"),
+                ),
+            ),
+        )
+
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
-    ends = F.aggregate(
-        steps,
-        F.array().cast("array<int>"),
-        lambda seen, step: F.concat(seen, F.array(step + F.coalesce(F.get(seen, F.size(seen) - 1), F.lit(0)))),
-    )
-    spans = F.transform(
-        F.arrays_zip(matches.alias("span"), ends.alias("end"), F.slice(gaps, 1, F.size(matches)).alias("gap")),
-        lambda m: F.struct(
-            F.lit(kind).alias("kind"),
-            (m["end"] - F.length(m["span"])).alias("start"),
-            m["end"].alias("end"),
-            m["span"].alias("span"),
-            F.lower(F.right(m["gap"], F.lit(WINDOW))).alias("before"),
-        ),
-    )
+    spans = bind(matches, lambda ms: bind(F.split(text, pattern, -1), lambda gaps: place(ms, gaps)))
     how, what = NEEDS[kind]
     possible = text.contains(what) if how == "contains" else text.rlike(what)
     return F.when(possible, spans).otherwise(F.array().cast(SPANS))
@@ -134,8 +139,21 @@ def base_spans(text: Column) -> Column:
     return F.concat(*(passing(kind) for kind in BASE_KINDS))
 
 
-def overlaps(span: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+def apart_from(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of the others: of those that start before its end, none may reach past its start."""
+
+    def keep(ordered: Column) -> Column:
+        starts = F.transform(ordered, lambda b: b["start"])
+        reach = running_max(F.transform(ordered, lambda b: b["end"]))
+        return bind(starts, lambda s: bind(reach, lambda r: F.filter(spans, lambda x: ~_touched(x, s, r))))
+
+    pairs = F.transform(others, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
+    return bind(F.array_sort(pairs), keep)
+
+
+def _touched(span: Column, starts: Column, reach: Column) -> Column:
+    before = count_below(starts, span["end"])
+    return F.coalesce(F.get(reach, before - 1) > span["start"], F.lit(False))
 
 
 def votes(span: Column) -> Column:
@@ -186,7 +204,7 @@ def with_candidates(docs: DataFrame, text_column: str) -> DataFrame:
     wide = F.concat(*(found(text, kind) for kind in EXTRA_KINDS))
     staged = docs.withColumn(BASE, F.when(may_hold, base_spans(text)).otherwise(none))
     staged = staged.withColumn(WIDE, F.when(may_hold, wide).otherwise(none))
-    apart = F.filter(WIDE, lambda span: ~overlaps(span, F.col(BASE)))
+    apart = apart_from(F.col(WIDE), F.col(BASE))
     return staged.withColumn(WIDE, F.when(F.size(WIDE) > 0, apart).otherwise(F.col(WIDE)))
 
 
@@ -299,24 +317,16 @@ def find_personal(docs: DataFrame, text_column: str = "text", name: str = "pii")
 def redact(docs: DataFrame, text_column: str = "text", name: str = "pii") -> DataFrame:
     """Replace every span by its kind in brackets; overlapping spans become one. Other texts stay as they are."""
     text, spans = F.col(text_column), F.col(name)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    walked = F.aggregate(
-        spans,
-        start,
-        lambda a, s: F.when(
-            s["start"] >= a["at"],
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(
-                    a["out"],
-                    F.array(
-                        F.substring(text, a["at"] + 1, s["start"] - a["at"]),
-                        F.concat(F.lit("["), s["kind"], F.lit("]")),
-                    ),
-                ).alias("out"),
-            ),
-        ).otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))),
-    )
-    rest = F.substring(text, walked["at"] + 1, F.length(text))
-    clean = F.when(F.size(spans) > 0, F.concat(F.array_join(walked["out"], ""), rest)).otherwise(text)
-    return docs.withColumn(text_column, clean).drop(name)
+
+    def fill(reach: Column, pieces: Column) -> Column:
+        def replaced(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(reach, i - 1), F.lit(0))
+            label = F.concat(F.lit("["), s["kind"], F.lit("]"))
+            return F.when(s["start"] >= before, F.concat(part_of(pieces, before, s["start"]), label)).otherwise("")
+
+        rest = part_of(pieces, F.get(reach, F.size(reach) - 1), F.length(text))
+        return F.concat(F.array_join(F.transform(spans, replaced), ""), rest)
+
+    reach = running_max(F.transform(spans, lambda s: s["end"]))
+    clean = bind(reach, lambda r: bind(pieces_of(text), lambda pieces: fill(r, pieces)))
+    return docs.withColumn(text_column, F.when(F.size(spans) > 0, clean).otherwise(text)).drop(name)
