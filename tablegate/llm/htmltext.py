@@ -8,7 +8,9 @@ The best element and those of its siblings that read like text are kept.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -23,7 +25,8 @@ BLOCKS = frozenset(
     " footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table"
     " tbody td tfoot th thead tr ul".split()
 )
-RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "title", "svg", "math", "select", "button", "object", "noframes", "canvas", "audio", "video")
+RAW = ("script", "style", "noscript", "textarea", "iframe", "title", "noframes")
+NEVER = frozenset("svg math template select button object canvas audio video datalist".split())
 UNWANTED = frozenset("nav header footer aside form dialog menu fieldset".split())
 MAIN = frozenset(("article", "main"))
 CLOSES_P = BLOCKS - {"body", "html"}
@@ -37,10 +40,14 @@ UNWANTED_NAMES = frozenset(
     " replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription"
     " tags toolbar widget alert complementary".split()
 )
+# Of these, the ones that wrappers of the article are called too, as in ``content-header`` ...
+WRAPPERS = frozenset("alert banner dialog form header hidden masthead modal notice notices popup toolbar widget".split())
+# ... next to a word for the article itself.
+ARTICLE_NAMES = frozenset("article body content entry main page post story text wrap wrapper".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?=/?[a-zA-Z])[^<>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -52,6 +59,7 @@ _SPLIT = re.compile(r"[^a-z]+")
 ABOUT_OTHERS = frozenset("has have no not with without".split())
 LINKS = 0.5  # a sibling with more of its characters in links is a list of links
 SIBLING_SHARE = 0.1
+LOST = 3  # so many times the text found without wrappers' names: they took the article
 
 
 def _attributes(attributes: str) -> Iterator[tuple[str, str]]:
@@ -68,41 +76,64 @@ def _hidden(attributes: str) -> bool:
     return False
 
 
-def _named_unwanted(attributes: str) -> bool:
-    """Whether a class, id or role is a listed word or has it as a part; ``has-sidebar`` or ``no-sidebar`` is none."""
+@dataclass(frozen=True)
+class Names:
+    """What class, id, role and a form say: by all listed words, without those of wrappers, or nothing at all."""
+
+    listed: frozenset[str]
+    forms: bool
+
+
+ALL_NAMES = Names(UNWANTED_NAMES, forms=True)
+NO_WRAPPERS = Names(UNWANTED_NAMES - WRAPPERS, forms=False)
+NO_NAMES = Names(frozenset(), forms=False)
+
+
+def _named_unwanted(attributes: str, names: Names) -> bool:
+    """Whether a class, id or role is a listed word or has it as a part.
+
+    ``has-sidebar`` or ``no-sidebar`` is none, nor is a wrapper's word next to
+    one for the article, as in ``content-header``.
+    """
     for name, value in _attributes(attributes):
         if name in ("class", "id", "role"):
             for token in value.lower().split():
-                parts = _SPLIT.split(token)
-                if ABOUT_OTHERS.isdisjoint(parts) and not UNWANTED_NAMES.isdisjoint(parts):
+                parts = set(_SPLIT.split(token))
+                found = parts & names.listed
+                if found and not ARTICLE_NAMES.isdisjoint(parts):
+                    found -= WRAPPERS
+                if found and ABOUT_OTHERS.isdisjoint(parts):
                     return True
     return False
 
 
-def _unwanted(name: str, attributes: str, by_name: bool = True) -> bool:
-    if name in UNWANTED:
+def _unwanted(name: str, attributes: str, names: Names) -> bool:
+    if name in UNWANTED and (names.forms or name not in ("form", "fieldset")):
         return True
     if not attributes.strip():
         return False
     if _hidden(attributes):
         return True
-    return by_name and name not in ("body", "html") and name not in MAIN and _named_unwanted(attributes)
+    return bool(names.listed) and name not in ("body", "html") and name not in MAIN and _named_unwanted(attributes, names)
 
 
 class Page:
     """Blocks of text and the elements that hold them, in page order."""
 
-    def __init__(self, by_name: bool = True) -> None:
-        self.by_name = by_name
+    def __init__(self, listed: Names = ALL_NAMES) -> None:
+        self.listed = listed
         self.parents, self.names, self.unwanted = [-1], [""], [False]
         self.blocks: list[tuple[int, str, int]] = []
         self.stack = [0]
+        self.open_names: Counter = Counter()
         self.pieces: list[str] = []
         self.linked = 0
         self.in_link = False
+        # an inline element whose text is left out: name, open elements of that name, where it began
+        self.skipped, self.depth, self.height = "", 0, 0
 
     def text(self, piece: str) -> None:
-        if not self.unwanted[self.stack[-1]]:
+        if not self.skipped and not self.unwanted[self.stack[-1]]:
             self.pieces.append(piece)
             if self.in_link:
                 self.linked += len(piece)
@@ -115,6 +146,26 @@ class Page:
             self.pieces = []
         self.linked, self.in_link = 0, False
 
+    def inline(self, name: str, attributes: str, closing: bool) -> None:
+        """An element inside a block; one that is hidden or no part of the article leaves the block open."""
+        if self.skipped:
+            if name == self.skipped and not attributes.endswith("/"):
+                self.depth += -1 if closing else 1
+                if not self.depth:
+                    self.skipped = ""
+        elif not closing and not attributes.endswith("/") and (name in NEVER or attributes and _unwanted(name, attributes, self.listed)):
+            self.skipped, self.depth, self.height = name, 1, len(self.stack)
+        elif name == "a":
+            self.in_link = not closing
+
+    def _leave(self, depth: int) -> None:
+        """Close the elements from this depth of the stack on, and what was left open inside them."""
+        for node in self.stack[depth:]:
+            self.open_names[self.names[node]] -= 1
+        del self.stack[depth:]
+        if len(self.stack) < self.height:
+            self.skipped = ""
+
     def open(self, name: str, attributes: str) -> None:
         self.end_block()
         if name in CLOSES_P:
@@ -132,33 +183,38 @@ class Page:
         top = self.stack[-1]
         self.parents.append(top)
         self.names.append(name)
-        self.unwanted.append(self.unwanted[top] or _unwanted(name, attributes, self.by_name))
+        self.unwanted.append(bool(self.skipped) or self.unwanted[top] or _unwanted(name, attributes, self.listed))
         self.stack.append(len(self.names) - 1)
+        self.open_names[name] += 1
 
     def _close_inside(self, names: tuple[str, ...], stops: frozenset[str]) -> None:
         """Close the nearest element of these names, unless another kind of element lies between."""
+        if not any(self.open_names[name] for name in names):
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             name = self.names[self.stack[depth]]
             if name in names:
-                del self.stack[depth:]
+                self._leave(depth)
                 return
             if name in stops:
                 return
 
     def close(self, name: str) -> None:
         self.end_block()
-        for depth in range(len(self.stack) - 1, 0, -1):
-            if self.names[self.stack[depth]] == name:
-                del self.stack[depth:]
-                return
+        # what is passed over on the way down is closed too, so all ends together cost what was opened
+        if self.open_names[name]:
+            depth = len(self.stack) - 1
+            while self.names[self.stack[depth]] != name:
+                depth -= 1
+            self._leave(depth)
 
 
-def read_page(html: str, by_name: bool = True) -> Page:
+def read_page(html: str, listed: Names = ALL_NAMES) -> Page:
     """Elements and text blocks of a page; broken markup, cut-off tags included, is markup all the same.
 
-    ``by_name``: leave out what class, id or role names as no part of the article.
+    What class, id or role names by a listed word is left out.
     """
-    page, at = Page(by_name), 0
+    page, at = Page(listed), 0
     for match in _TOKEN.finditer(html):
         if match.start() > at:
             page.text(html[at : match.start()])
@@ -172,16 +228,10 @@ def read_page(html: str, by_name: bool = True) -> Page:
                 page.close(name)
             else:
                 page.open(name, match[4])
-        elif name == "a":
-            page.in_link = not match[2]
         elif name == "br":
             page.text(" ")
-        elif name in VOID:
-            continue
-        elif not match[2] and match[4] and _unwanted(name, match[4], by_name) and not match[4].endswith("/"):
-            page.open(name, match[4])  # an inline element that is hidden or no part of the article
-        elif match[2] and any(page.names[i] == name for i in page.stack):
-            page.close(name)
+        elif name not in VOID:
+            page.inline(name, match[4], bool(match[2]))
     if at < len(html):
         page.text(html[at:])
     page.end_block()
@@ -226,8 +276,24 @@ def main_blocks(page: Page) -> list[str]:
 
 
 def main_text(html: str) -> str:
-    """The main text; a page whose names leave nothing is scored again without regard to names."""
-    return "\n\n".join(main_blocks(read_page(html)) or main_blocks(read_page(html, by_name=False)))
+    """The main text.
+
+    Names say what is no part of the article. Where the words that wrappers of
+    a page have too, or a form, take away most of the text that is found
+    without them, they are not believed; and no name is if nothing is left.
+    """
+    text = "\n\n".join(main_blocks(read_page(html)))
+    wider = "\n\n".join(main_blocks(read_page(html, NO_WRAPPERS))) if _has_wrappers(html) else ""
+    if len(wider) > LOST * len(text):
+        text = wider
+    return text or "\n\n".join(main_blocks(read_page(html, NO_NAMES)))
+
+
+_WRAPPER = re.compile(r"<form\b|<fieldset\b|(?:class|id|role)\s*=[^>]*(?:" + "|".join(sorted(WRAPPERS)) + ")", re.IGNORECASE)
+
+
+def _has_wrappers(html: str) -> bool:
+    return _WRAPPER.search(html) is not None
 
 
 def extract_main_text(
