@@ -8,7 +8,7 @@ chooses the word, the words of a rare class follow their counts (see lm.py).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
 
 import numpy as np
 
@@ -21,8 +21,9 @@ RARE = 8
 INPUTS = VOCABULARY + 1 + RARE
 OUTPUTS = CLASSES + 1 + RARE
 WINDOW = 32
-LANES = 512
-RATE = 0.004
+LANES = 512  # texts that are scored side by side
+TRAIN_LANES = 512
+RATE = 0.014
 
 Weights = dict[str, np.ndarray]
 
@@ -74,32 +75,83 @@ def _step(weights: Weights, given: np.ndarray, state: np.ndarray) -> tuple[np.nd
     return fresh + keep * (state - fresh), reset, keep, fresh, own[:, 2 * HIDDEN :]
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def keep_memory() -> None:
+    """Let this process keep freed memory for its next arrays.
 
+    By default the C library returns every array of some megabytes to the
+    system, which then clears the same pages for the next one; that takes as
+    long as the sums. What is kept is what the largest block needed.
+    """
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (OSError, AttributeError):  # another C library
+        return
+    # The names M_TRIM_THRESHOLD, M_TOP_PAD and M_MMAP_THRESHOLD stand for
+    for option, size in ((-1, 256 << 20), (-2, 16 << 20), (-3, 32 << 20)):
+        mallopt(option, size)
 
-def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the tokens of each class of the vocabulary that occurs."""
-    order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c + 1] > cuts[c]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers in place of the rows less one number that keeps them in range, and their sums.
+
+    Rows differ by what a state adds to the log counts, far less than float32
+    can span; a row beyond that is taken by its own maximum.
+    """
+    top = x.max()
+    sums = np.exp(x - top, out=np.empty_like(x))
+    total = sums @ np.ones(x.shape[1], dtype=x.dtype)
+    if total.size and total.min() < 1e-30:
+        sums = np.exp(x - x.max(axis=1, keepdims=True))
+        total = sums.sum(axis=1)
+    return sums, total
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    powers, total = _exp(x)
+    powers /= total[:, None]
+    return powers
+
+
+def _chosen_logs(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log softmax of one entry of each row."""
+    powers, total = _exp(x)
+    entry = powers[np.arange(len(x)), chosen]
+    if entry.size and entry.min() < 1e-30:
+        x = x - x.max(axis=1, keepdims=True)
+        return x[np.arange(len(x)), chosen] - np.log(np.exp(x).sum(axis=1))
+    return np.log(entry / total)
+
+
+def _sums_by(keys: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the rows of each key, by sorting."""
+    order = np.argsort(keys.astype(np.int16), kind="stable")  # 16 bits are sorted by digits
+    keys = keys[order]
+    cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    sums = np.zeros((size, rows.shape[1]), dtype=rows.dtype)
+    sums[keys[cuts]] = np.add.reduceat(rows[order], cuts, axis=0)
+    return sums
+
+
+def _by_class(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the tokens by class, and where each class of the vocabulary begins in it."""
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    return order, np.searchsorted(classes[order], np.arange(CLASSES + 1))
 
 
 def token_logs(weights: Weights, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log probability of each token after each state; a rare token's is that of its class."""
     classes = class_of(tokens)
-    logits = states @ weights["classes"] + weights["class_bias"]
-    top = logits.max(axis=1)
-    logs = logits[np.arange(len(tokens)), classes] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    for c, rows in _by_class(classes):
-        inner = states[rows] @ weights["words"][c] + weights["word_bias"][c]
-        top = inner.max(axis=1)
-        chosen = inner[np.arange(len(rows)), tokens[rows] - c * CLASS_WORDS]
-        logs[rows] += chosen - top - np.log(np.exp(inner - top[:, None]).sum(axis=1))
-    return logs
+    order, cuts = _by_class(classes)
+    states, tokens, classes = states[order], tokens[order], classes[order]
+    logs = _chosen_logs(states @ weights["classes"] + weights["class_bias"], classes)
+    for c in range(CLASSES):
+        rows = slice(cuts[c], cuts[c + 1])
+        if cuts[c + 1] > cuts[c]:
+            inner = states[rows] @ weights["words"][c] + weights["word_bias"][c]
+            logs[rows] += _chosen_logs(inner, tokens[rows] - c * CLASS_WORDS)
+    unsorted = np.empty_like(logs)
+    unsorted[order] = logs
+    return unsorted
 
 
 def score_texts(weights: Weights, texts: list[np.ndarray]) -> np.ndarray:
@@ -140,7 +192,7 @@ def score_texts(weights: Weights, texts: list[np.ndarray]) -> np.ndarray:
 
 
 class Trainer:
-    """Adam on windows of segments that run side by side."""
+    """Adam on windows of texts that run side by side."""
 
     def __init__(self, weights: Weights, rate: float):
         self.weights = {name: value.copy() for name, value in weights.items()}
@@ -148,75 +200,99 @@ class Trainer:
         self.square = {name: np.zeros_like(value) for name, value in weights.items()}
         self.rate, self.steps, self.tokens = rate, 0, 0
 
-    def segments(self, texts: list[np.ndarray]) -> None:
-        """Learn some segments: windows in order, the state carried from each to the next, gradients not."""
-        if not texts:
+    def stream(self, tokens: np.ndarray, begins: np.ndarray) -> None:
+        """Learn whole texts that follow each other, each with its end; ``begins`` marks their first tokens.
+
+        The stream is cut into lanes of equal length that run side by side, so
+        no step is empty. Windows follow in order; the state goes from each to
+        the next, and starts anew where a text does, but gradients do not. Only
+        a lane that begins inside a text has no state yet; it starts from the
+        word before it.
+        """
+        lanes = min(TRAIN_LANES, -(-len(tokens) // WINDOW))
+        if not lanes:
             return
-        longest = max(map(len, texts))
-        tokens = np.full((longest, len(texts)), END)
-        real = np.zeros((longest, len(texts)), dtype=bool)
-        for j, text in enumerate(texts):
-            tokens[: len(text), j] = text
-            real[: len(text), j] = True
-        inputs = np.concatenate([np.full((1, len(texts)), END), tokens[:-1]])
-        state = np.zeros((len(texts), HIDDEN), dtype=np.float32)
-        for low in range(0, longest, WINDOW):
+        length = -(-len(tokens) // lanes)
+        inputs = np.concatenate([[END], tokens[:-1]])
+        inputs = np.where(begins, END, inputs)
+
+        def across(values: np.ndarray, rest: int) -> np.ndarray:
+            padded = np.full(lanes * length, rest, dtype=values.dtype)
+            padded[: len(values)] = values
+            return np.ascontiguousarray(padded.reshape(lanes, length).T)
+
+        inputs, goes_on = across(inputs, END), across(~begins, 0).astype(np.float32)
+        real = across(np.ones(len(tokens), dtype=bool), 0)
+        tokens = across(tokens, END)
+        state = np.zeros((lanes, HIDDEN), dtype=np.float32)
+        for low in range(0, length, WINDOW):
             part = slice(low, low + WINDOW)
-            state = self._window(inputs[part], tokens[part], real[part], state)
+            state = self._window(inputs[part], tokens[part], real[part], goes_on[part], state)
 
-    def _window(self, inputs: np.ndarray, tokens: np.ndarray, real: np.ndarray, state: np.ndarray) -> np.ndarray:
+    def _window(
+        self, inputs: np.ndarray, tokens: np.ndarray, real: np.ndarray, goes_on: np.ndarray, state: np.ndarray
+    ) -> np.ndarray:
         w = self.weights
-        trace, states = [], np.empty((*tokens.shape, HIDDEN), dtype=np.float32)
+        shape, h = (*tokens.shape, HIDDEN), HIDDEN
+        befores, resets, keeps, news, owns, states = (np.empty(shape, dtype=np.float32) for _ in range(6))
         given = w["inputs"][inputs]
         for t in range(len(tokens)):
-            before = state
-            state, *gates = _step(w, given[t], before)
-            trace.append((before, *gates))
+            befores[t] = state * goes_on[t][:, None]
+            state, resets[t], keeps[t], news[t], owns[t] = _step(w, given[t], befores[t])
             states[t] = state
-        slopes, back = self._output_slopes(states.reshape(-1, HIDDEN), tokens.ravel(), real.ravel())
-        back = back.reshape(states.shape)
-        to_inputs = np.empty_like(given)
+        slopes, back = self._output_slopes(states.reshape(-1, h), tokens.ravel(), real.ravel())
+        back = back.reshape(shape)
+        # all that does not depend on the slope, for all steps at once
+        by_new = (1 - keeps) * (1 - news * news)
+        by_reset = by_new * owns * resets * (1 - resets)
+        by_keep = (befores - news) * keeps * (1 - keeps)
+        by_own = by_new * resets
         to_own = np.empty_like(given)
+        slope_at = np.empty(shape, dtype=np.float32)
         carried = np.zeros_like(state)
-        h = HIDDEN
+        back_state = np.ascontiguousarray(w["state"].T)
         for t in range(len(tokens) - 1, -1, -1):
-            before, reset, keep, fresh, own = trace[t]
-            slope = back[t] + carried
-            to_fresh = slope * (1 - keep) * (1 - fresh * fresh)
-            to_inputs[t, :, :h] = to_fresh * own * reset * (1 - reset)
-            to_inputs[t, :, h : 2 * h] = slope * (before - fresh) * keep * (1 - keep)
-            to_inputs[t, :, 2 * h :] = to_fresh
-            to_own[t, :, : 2 * h] = to_inputs[t, :, : 2 * h]
-            to_own[t, :, 2 * h :] = to_fresh * reset
-            carried = slope * keep + to_own[t] @ w["state"].T
-        befores = np.stack([entry[0] for entry in trace]).reshape(-1, h)
+            slope = np.add(back[t], carried, out=slope_at[t])
+            np.multiply(slope, by_reset[t], out=to_own[t, :, :h])
+            np.multiply(slope, by_keep[t], out=to_own[t, :, h : 2 * h])
+            np.multiply(slope, by_own[t], out=to_own[t, :, 2 * h :])
+            carried = (slope * keeps[t] + to_own[t] @ back_state) * goes_on[t][:, None]
         flat = to_own.reshape(-1, 3 * h)
-        slopes["state"] = befores.T @ flat
+        slopes["state"] = befores.reshape(-1, h).T @ flat
         slopes["state_bias"] = flat.sum(axis=0)
-        slopes["inputs"] = np.zeros_like(w["inputs"])
-        np.add.at(slopes["inputs"], inputs.ravel(), to_inputs.reshape(-1, 3 * h))
+        to_own[:, :, 2 * h :] = slope_at * by_new
+        slopes["inputs"] = _sums_by(inputs.ravel(), flat, INPUTS)
         self._update(slopes)
         self.tokens += int(real.sum())
         return state
 
     def _output_slopes(self, states: np.ndarray, tokens: np.ndarray, real: np.ndarray) -> tuple[Weights, np.ndarray]:
         w = self.weights
-        weight = real[:, None].astype(np.float32) / max(1, int(real.sum()))
         classes = class_of(tokens)
-        miss = np.exp(_log_softmax(states @ w["classes"] + w["class_bias"]))
+        order, cuts = _by_class(classes)
+        # in the order of classes, so that the tokens of a class are one slice
+        states, tokens, classes = states[order], tokens[order], classes[order]
+        weight = real[order][:, None].astype(np.float32) / max(1, int(real.sum()))
+        miss = _softmax(states @ w["classes"] + w["class_bias"])
         miss[np.arange(len(tokens)), classes] -= 1
         miss *= weight
         back = miss @ w["classes"].T
         slopes = {"classes": states.T @ miss, "class_bias": miss.sum(axis=0)}
         slopes["words"], slopes["word_bias"] = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
-        for c, rows in _by_class(classes):
-            inner = np.exp(_log_softmax(states[rows] @ w["words"][c] + w["word_bias"][c]))
-            inner[np.arange(len(rows)), tokens[rows] - c * CLASS_WORDS] -= 1
+        for c in range(CLASSES):
+            rows = slice(cuts[c], cuts[c + 1])
+            some = states[rows]
+            if not len(some):
+                continue
+            inner = _softmax(some @ w["words"][c] + w["word_bias"][c])
+            inner[np.arange(len(some)), tokens[rows] - c * CLASS_WORDS] -= 1
             inner *= weight[rows]
             back[rows] += inner @ w["words"][c].T
-            slopes["words"][c] = states[rows].T @ inner
+            slopes["words"][c] = some.T @ inner
             slopes["word_bias"][c] = inner.sum(axis=0)
-        return slopes, back
+        unsorted = np.empty_like(back)
+        unsorted[order] = back
+        return slopes, unsorted
 
     def _update(self, slopes: Weights) -> None:
         length = np.sqrt(sum(float((s * s).sum()) for s in slopes.values()))

@@ -25,9 +25,8 @@ from tablegate.llm.words import fold, in_batches, lower_ascii, rows_within, text
 FOLDS, HELD_OUT = 7, 2
 KNOWN_WORDS = 100_000  # most frequent words that tasks hold with their counts; rarer ones are joined
 FLUSH_WORDS = 400_000
-SEGMENT = 4 * gru.WINDOW
-ROUNDS = 2  # every segment of every training document trains in one of them
-TRAIN_LANES = 64
+ROUNDS = 2  # every training document trains whole in one of them, by the hash of its text
+TRAIN_TOKENS = 1 << 19  # tokens that one call of the trainer cuts into lanes
 MERGE = 32  # copies of the network that are averaged at once
 SLICE = 1 << 14
 SCORE_TOKENS = 1 << 20  # tokens scored together
@@ -106,17 +105,6 @@ class Lexicon:
         return tokens, places, unknown
 
 
-def _segments(raw: bytes, round_number: int, lexicon: Lexicon) -> Iterator[np.ndarray]:
-    """The segments of a text that train in this round: each in one round, by turns that the hash of the text starts."""
-    words = lower_ascii(raw).split()
-    turn = zlib.crc32(raw)
-    for i, low in enumerate(range(0, len(words) + 1, SEGMENT)):
-        if (turn + i) % ROUNDS == round_number:
-            part = words[low : low + SEGMENT]
-            tokens = lexicon.numbers(part)[0]
-            yield tokens if low + SEGMENT > len(words) else tokens[:-1]
-
-
 def train_round(docs: DataFrame, lexicon: Lexicon, weights: gru.Weights, round_number: int) -> gru.Weights:
     """Every task trains a copy on its documents; copies are averaged by the tokens they saw."""
     schema = pa.schema([("slice", pa.int32()), ("part", pa.int64()), ("n", pa.float64()), ("values", pa.binary())])
@@ -126,16 +114,24 @@ def train_round(docs: DataFrame, lexicon: Lexicon, weights: gru.Weights, round_n
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        trainer, held = gru.Trainer(weights, rate), []
+        gru.keep_memory()
+        trainer, held, size = gru.Trainer(weights, rate), [], 0
+
+        def learn() -> None:
+            begins = np.zeros(sum(map(len, held)), dtype=bool)
+            begins[np.cumsum([0, *map(len, held[:-1])])] = True
+            trainer.stream(np.concatenate(held), begins)
+
         for (raw,) in rows_within(batches):
-            held.extend(_segments(raw, round_number, lexicon))
-            while len(held) >= 4 * TRAIN_LANES:
-                # texts of like length side by side leave little room empty
-                held.sort(key=len)
-                trainer.segments(held[-TRAIN_LANES:])
-                del held[-TRAIN_LANES:]
-        for low in range(0, len(held), TRAIN_LANES):
-            trainer.segments(held[low : low + TRAIN_LANES])
+            if zlib.crc32(raw) % ROUNDS != round_number:
+                continue
+            held.append(lexicon.numbers(lower_ascii(raw).split())[0].astype(np.int16))
+            size += len(held[-1])
+            if size >= TRAIN_TOKENS:
+                learn()
+                held, size = [], 0
+        if held:
+            learn()
         if trainer.tokens:
             flat, part = gru.flatten(trainer.weights), TaskContext.get().partitionId()
             rows = [
@@ -249,6 +245,7 @@ def _scored(rows: DataFrame, lexicon: Lexicon, weights: gru.Weights) -> DataFram
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gru.keep_memory()
         logs = np.append(np.log10(lexicon.counts + 1.0), 0.0)  # place -1: joined later
         known = np.append(lexicon.counts > 0, False)
         mass = np.log10(lexicon.rare_mass.astype(np.float64))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -176,7 +177,7 @@ def test_gru_gradients_and_windows():
     trainer = gru.Trainer(weights, 0.0)
     caught = {}
     trainer._update = lambda slopes: caught.update(slopes)
-    trainer.segments([tokens])
+    trainer.stream(tokens, np.arange(9) == 0)
     exact = {k: v.astype(np.float64) for k, v in weights.items()}
     for name, at in (("state", (3, 5)), ("state", (2, 40)), ("inputs", (int(tokens[2]), 20)), ("classes", (1, 2))):
         moved = [{**exact, name: exact[name].copy()} for _ in range(2)]
@@ -189,19 +190,66 @@ def test_gru_gradients_and_windows():
     assert alone == pytest.approx(beside, rel=1e-5)
 
 
-def test_every_segment_trains_once():
-    words = [b"w%d" % i for i in range(5 * lm.SEGMENT + 7)]
-    lexicon = lm.Lexicon.of([(word, 1) for word in words], 1, {})
-    ends = 0
-    for size in (0, 1, 127, 128, 129, len(words)):
-        raw = b" ".join(words[:size])
-        parts = [p.tolist() for r in range(lm.ROUNDS) for p in lm._segments(raw, r, lexicon)]
-        assert sorted(t for part in parts for t in part) == sorted(lexicon.numbers(words[:size])[0].tolist())
-        ends += sum(part.count(gru.END) for part in parts)
-    assert ends == 6
-    # texts alike in their first bytes and their length do not take the same turn each
-    alike = [b"a" * 64 + b" %03d" % i for i in range(40)]
-    assert len({tuple(len(list(lm._segments(raw, r, lexicon))) for r in range(lm.ROUNDS)) for raw in alike}) == 2
+def plain_logs(weights, tokens, state):
+    """Log probabilities of tokens one by one, by the formulas; returns the last state too."""
+    w = {k: v.astype(np.float64) for k, v in weights.items()}
+    h, last, logs = gru.HIDDEN, gru.END, []
+    for token in tokens:
+        given, own = w["inputs"][last], state @ w["state"] + w["state_bias"]
+        reset, keep = (1 / (1 + np.exp(-(given[a : a + h] + own[a : a + h]))) for a in (0, h))
+        fresh = np.tanh(given[2 * h :] + reset * own[2 * h :])
+        state = keep * state + (1 - keep) * fresh
+        at = int(gru.class_of(np.array([token]))[0])
+        logits = state @ w["classes"] + w["class_bias"]
+        log = logits[at] - np.log(np.exp(logits).sum())
+        if token < gru.VOCABULARY:
+            inner = state @ w["words"][at] + w["word_bias"][at]
+            log += inner[token % gru.CLASS_WORDS] - np.log(np.exp(inner).sum())
+        logs.append(log)
+        last = token
+    return logs
+
+
+def test_scores_equal_the_formulas():
+    random = np.random.default_rng(4)
+    bias = random.normal(5, 3, gru.OUTPUTS), random.normal(5, 3, (gru.CLASSES, gru.CLASS_WORDS))
+    weights = {k: v * 3 if k != "class_bias" else v for k, v in gru.start_weights(*bias).items()}
+    texts = [np.append(random.integers(0, gru.INPUTS, n), gru.END) for n in (0, 1, 31, 32, 33, 200)]
+    expected = [sum(plain_logs(weights, text.tolist(), np.zeros(gru.HIDDEN))) for text in texts]
+    assert gru.score_texts(weights, texts) == pytest.approx(expected, rel=1e-4)
+    # probabilities far apart
+    weights["class_bias"][:5] -= 200
+    texts = [np.array([3, 700, gru.END])]
+    assert gru.score_texts(weights, texts)[0] == pytest.approx(sum(plain_logs(weights, texts[0].tolist(), np.zeros(gru.HIDDEN))), rel=1e-4)
+
+
+def test_every_token_trains_once_after_the_word_before_it(monkeypatch):
+    """Lanes hold the whole stream; states start anew where texts do, and only a lane's first token has none inside one."""
+    random = np.random.default_rng(6)
+    texts = [np.append(random.integers(0, 50, n), gru.END) for n in (0, 5, 900, 40, 3000, 1)]
+    stream = np.concatenate(texts)
+    begins = np.zeros(len(stream), dtype=bool)
+    begins[np.cumsum([0, *map(len, texts[:-1])])] = True
+    trainer = gru.Trainer(gru.start_weights(np.zeros(gru.OUTPUTS), np.zeros((gru.CLASSES, gru.CLASS_WORDS))), 0.0)
+    seen, starts = [], 0
+
+    def window(inputs, tokens, real, goes_on, state):
+        seen.append((inputs, tokens, real, goes_on))
+        return state
+
+    monkeypatch.setattr(trainer, "_window", window)
+    trainer.stream(stream, begins)
+    inputs, tokens, real, goes_on = (np.concatenate([s[i] for s in seen]).T for i in range(4))
+    assert tokens[real].tolist() == stream.tolist()
+    before = np.where(begins, gru.END, np.concatenate([[gru.END], stream[:-1]]))
+    assert inputs[real].tolist() == before.tolist()
+    assert (goes_on[real] == 0).tolist() == begins.tolist()
+
+
+def test_every_document_trains_in_one_round():
+    texts = [b"text %d" % i for i in range(100)]
+    rounds = [[zlib.crc32(raw) % lm.ROUNDS == r for r in range(lm.ROUNDS)] for raw in texts]
+    assert all(sum(row) == 1 for row in rounds) and all(any(column) for column in zip(*rounds, strict=True))
 
 
 def test_repeated_words():
