@@ -9,6 +9,7 @@ chooses the word, the words of a rare class follow their counts (see lm.py).
 from __future__ import annotations
 
 import ctypes
+import heapq
 
 import numpy as np
 
@@ -21,7 +22,8 @@ RARE = 8
 INPUTS = VOCABULARY + 1 + RARE
 OUTPUTS = CLASSES + 1 + RARE
 WINDOW = 32
-LANES = 512  # texts that are scored side by side
+LANES = 256  # of texts that are scored
+SCORE_WINDOW = 64
 TRAIN_LANES = 512
 RATE = 0.014
 
@@ -154,40 +156,60 @@ def token_logs(weights: Weights, states: np.ndarray, tokens: np.ndarray) -> np.n
     return unsorted
 
 
+def _lanes(lengths: list[int]) -> list[list[int]]:
+    """Texts dealt to lanes, the longest first and each to the shortest lane; the lanes by falling length."""
+    order = sorted((i for i, n in enumerate(lengths) if n), key=lambda i: -lengths[i])
+    heap = [(0, lane) for lane in range(min(LANES, len(order)))]
+    lanes: list[list[int]] = [[] for _ in heap]
+    for i in order:
+        load, lane = heap[0]
+        lanes[lane].append(i)
+        heapq.heapreplace(heap, (load + lengths[i], lane))
+    return sorted(lanes, key=lambda lane: -sum(lengths[i] for i in lane))
+
+
 def score_texts(weights: Weights, texts: list[np.ndarray]) -> np.ndarray:
     """Log probability of each whole text (tokens with their end), by windows with the state carried on.
 
-    Texts run side by side, longest first; a window handles those that still
-    have tokens, so no text is cut and none waits for another.
+    Lanes run side by side, and one takes its next text where the last ended,
+    with a new state. A window handles the lanes that still have tokens, so no
+    text is cut and none waits for another.
     """
     scores = np.zeros(len(texts))
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    for low in range(0, len(order), LANES):
-        lanes = order[low : low + LANES]
-        lengths = np.array([len(texts[i]) for i in lanes])
-        state = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
-        last = np.full(len(lanes), END)
-        sums = np.zeros(len(lanes))
-        for start in range(0, int(lengths[0]), WINDOW):
-            active = int(np.searchsorted(-lengths, -start, side="left"))
-            steps = min(WINDOW, int(lengths[0]) - start)
-            tokens = np.full((steps, active), END)
-            for j in range(active):
-                part = texts[lanes[j]][start : start + steps]
-                tokens[: len(part), j] = part
-            inputs = np.concatenate([last[None, :active], tokens[:-1]])
-            state = state[:active]
-            states = np.empty((steps, active, HIDDEN), dtype=np.float32)
-            given = weights["inputs"][inputs]
-            for t in range(steps):
-                # the state that predicts token t has seen all tokens before it
-                state = _step(weights, given[t], state)[0]
-                states[t] = state
-            last = tokens[-1]
-            logs = token_logs(weights, states.reshape(-1, HIDDEN), tokens.ravel()).reshape(steps, active)
-            real = np.arange(start, start + steps)[:, None] < lengths[None, :active]
-            sums[:active] += np.where(real, logs, 0.0).sum(axis=0)
-        scores[lanes] = sums
+    lanes = _lanes([len(text) for text in texts])
+    streams = [np.concatenate([texts[i] for i in lane]) for lane in lanes]
+    cuts = [np.cumsum([0, *(len(texts[i]) for i in lane[:-1])]) for lane in lanes]
+    goes_on = [np.ones(len(stream), dtype=np.float32) for stream in streams]
+    for lane, begins in zip(goes_on, cuts, strict=True):
+        lane[begins] = 0
+    lengths = np.array([len(stream) for stream in streams])
+    logs = [np.empty(n) for n in lengths]
+    state = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
+    last = np.full(len(lanes), END)
+    for start in range(0, int(lengths.max(initial=0)), SCORE_WINDOW):
+        active = int(np.searchsorted(-lengths, -start, side="left"))
+        steps = min(SCORE_WINDOW, int(lengths[0]) - start)
+        tokens = np.full((active, steps), END)
+        held = np.zeros((active, steps), dtype=np.float32)
+        for j in range(active):
+            part = streams[j][start : start + steps]
+            tokens[j, : len(part)] = part
+            held[j, : len(part)] = goes_on[j][start : start + steps]
+        inputs = np.where(held > 0, np.concatenate([last[:active, None], tokens[:, :-1]], axis=1), END).T
+        last = tokens[:, -1]
+        state, held = state[:active], held.T
+        states = np.empty((steps, active, HIDDEN), dtype=np.float32)
+        given = weights["inputs"][inputs]
+        for t in range(steps):
+            # the state that predicts token t has seen all tokens of its text before it
+            state = _step(weights, given[t], state * held[t][:, None])[0]
+            states[t] = state
+        found = token_logs(weights, states.reshape(-1, HIDDEN), tokens.T.ravel()).reshape(steps, active).T
+        for j in range(active):
+            stop = min(steps, lengths[j] - start)
+            logs[j][start : start + stop] = found[j, :stop]
+    for lane, begins, values in zip(lanes, cuts, logs, strict=True):
+        scores[lane] = np.add.reduceat(values, begins)
     return scores
 
 

@@ -29,7 +29,7 @@ ROUNDS = 2  # every training document trains whole in one of them, by the hash o
 TRAIN_TOKENS = 1 << 19  # tokens that one call of the trainer cuts into lanes
 MERGE = 32  # copies of the network that are averaged at once
 SLICE = 1 << 14
-SCORE_TOKENS = 1 << 20  # tokens scored together
+SCORE_TOKENS = 1 << 22  # tokens scored together
 END_WORD = b" "  # no word holds a blank
 _SIGNS = frozenset(b"#*$%&|!<>@=\"'()[]{}0123456789")
 
