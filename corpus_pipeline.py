@@ -72,7 +72,7 @@ STAGES = [
     ("packing", sequence_packing),
 ]
 
-# learned scores, Hamming components and packing are beyond SQL; tests/llm holds the stages against plain Python
+# learned scores, Hamming components and packing are beyond SQL; tests/llm holds the operators against plain Python
 ORACLE_SQL = None
 
 
