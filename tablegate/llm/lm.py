@@ -15,12 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablegate.llm import gru
 from tablegate.llm.storage import stored
-from tablegate.llm.words import fold, in_batches, lower_ascii, rows_within, text_bytes
+from tablegate.llm.words import BATCH_BYTES, fold, in_batches, rows_within, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
 KNOWN_WORDS = 100_000  # most frequent words that tasks hold with their counts; rarer ones are joined
@@ -39,15 +40,55 @@ def rare_class(word: bytes) -> int:
     return (word[-1:] in (b".", b",")) + 2 * (not word.isascii()) + 4 * (not _SIGNS.isdisjoint(word))
 
 
+@dataclass
+class Words:
+    """Words of some texts in lower case, each once, with the number of every occurrence and of every end.
+
+    ``codes`` follow the texts; the end of a text has the number after the
+    last word's. ``lengths`` count the codes of each text, at least one.
+    """
+
+    distinct: pa.Array
+    codes: np.ndarray
+    lengths: np.ndarray
+
+    @classmethod
+    def of(cls, raw: pa.Array) -> Words:
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(raw.view(pa.string())))
+        words, texts = pc.list_flatten(lists), pc.list_parent_indices(lists)
+        real = pc.greater(pc.binary_length(words), 0)  # blanks at either end leave an empty word
+        coded = words.filter(real).dictionary_encode()
+        counts = np.bincount(np.asarray(texts.filter(real)), minlength=len(raw))
+        codes = np.insert(np.asarray(coded.indices), np.cumsum(counts), len(coded.dictionary))
+        return cls(coded.dictionary.view(pa.binary()), codes, counts + 1)
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.lengths) - self.lengths
+
+
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows in order, cut where the texts (``raw``) pass about ``BATCH_BYTES``."""
+    for batch in batches:
+        sizes = np.asarray(pc.binary_length(batch.column("raw"))).astype(np.int64)
+        part = (np.cumsum(sizes) - sizes) // BATCH_BYTES
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
+            if high > low:
+                yield batch.slice(low, high - low)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` (bytes) and ``c`` over all rows of ``raw``; the end of a text counts as ``END_WORD``."""
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
-        for (raw,) in rows_within(batches):
-            counts.update(lower_ascii(raw).split())
-            counts[END_WORD] += 1
+        for piece in pieces(batches):
+            words = Words.of(piece.column("raw"))
+            times = np.bincount(words.codes, minlength=len(words.distinct) + 1).tolist()
+            for word, n in zip([*words.distinct.to_pylist(), END_WORD], times, strict=True):
+                counts[word] += n
             if len(counts) > FLUSH_WORDS:
                 yield from in_batches(iter(counts.items()), schema, 65_536)
                 counts.clear()
@@ -94,15 +135,15 @@ class Lexicon:
         # places without a word, and classes without one, keep a share too small to matter
         return np.log(np.maximum(by_class, 1e-3)), np.log(np.maximum(words, 1e-6))
 
-    def numbers(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Tokens of words with the end, their places (-1: beyond the lexicon), and the words beyond."""
+    def numbers(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all codes, and their places (-1: beyond the lexicon)."""
+        distinct = words.distinct.to_pylist()
         get = self.places.get
-        places = np.array([get(word, -1) for word in words] + [len(self.places)], dtype=np.int64)
+        places = np.array([get(word, -1) for word in distinct] + [len(self.places)], dtype=np.int64)
         tokens = self.tokens[places]
         beyond = np.flatnonzero(places < 0).tolist()
-        unknown = [words[i] for i in beyond]
-        tokens[beyond] = [gru.END + 1 + rare_class(word) for word in unknown]
-        return tokens, places, unknown
+        tokens[beyond] = [gru.END + 1 + rare_class(distinct[i]) for i in beyond]
+        return tokens.astype(np.int16)[words.codes], places[words.codes]
 
 
 def train_round(docs: DataFrame, lexicon: Lexicon, weights: gru.Weights, round_number: int) -> gru.Weights:
@@ -122,14 +163,16 @@ def train_round(docs: DataFrame, lexicon: Lexicon, weights: gru.Weights, round_n
             begins[np.cumsum([0, *map(len, held[:-1])])] = True
             trainer.stream(np.concatenate(held), begins)
 
-        for (raw,) in rows_within(batches):
-            if zlib.crc32(raw) % ROUNDS != round_number:
-                continue
-            held.append(lexicon.numbers(lower_ascii(raw).split())[0].astype(np.int16))
-            size += len(held[-1])
-            if size >= TRAIN_TOKENS:
-                learn()
-                held, size = [], 0
+        for piece in pieces(batches):
+            raws = piece.column("raw")
+            chosen = [zlib.crc32(raw) % ROUNDS == round_number for raw in raws.to_pylist()]
+            words = Words.of(raws.filter(pa.array(chosen, pa.bool_())))
+            for text in np.split(lexicon.numbers(words)[0], words.starts[1:]) if len(words.lengths) else ():
+                held.append(text)
+                size += len(text)
+                if size >= TRAIN_TOKENS:
+                    learn()
+                    held, size = [], 0
         if held:
             learn()
         if trainer.tokens:
@@ -249,26 +292,40 @@ def _scored(rows: DataFrame, lexicon: Lexicon, weights: gru.Weights) -> DataFram
         logs = np.append(np.log10(lexicon.counts + 1.0), 0.0)  # place -1: joined later
         known = np.append(lexicon.counts > 0, False)
         mass = np.log10(lexicon.rare_mass.astype(np.float64))
-        held: list[tuple] = []
-        texts: list[np.ndarray] = []
+        held: list[tuple[pa.RecordBatch, np.ndarray, Words, np.ndarray]] = []
 
         def finish() -> Iterator[pa.RecordBatch]:
-            scores = gru.score_texts(weights, texts) / np.log(10)
-            done = [(*row[:4], row[4], row[5] + s, row[6]) for row, s in zip(held, scores.tolist(), strict=True)]
-            yield from in_batches(iter(done), schema, 2048)
+            texts = [text for _, tokens, words, _ in held for text in np.split(tokens, words.starts[1:])]
+            scores, at = gru.score_texts(weights, texts) / np.log(10), 0
+            for found, _, words, inner in held:
+                model = pa.array(inner + scores[at : at + len(inner)])
+                at += len(inner)
+                yield pa.record_batch([*found.columns[:5], model, found.column("unknown")], schema=schema)
 
         size = 0
-        for doc_id, held_out, raw in rows_within(batches):
-            tokens, places, unknown = lexicon.numbers(lower_ascii(raw).split())
-            values = logs[places]
+        for piece in pieces(batches):
+            words = Words.of(piece.column("raw"))
+            tokens, places = lexicon.numbers(words)
+            starts, values, beyond = words.starts, logs[places], places < 0
             rarer = tokens > gru.END
-            inner = float(values[rarer].sum() - mass[tokens[rarer] - gru.END - 1].sum())
-            held.append((doc_id, held_out, len(tokens), int(known[places].sum()), float(values.sum()), inner, unknown))
-            texts.append(tokens.astype(np.int16))
+            inner = np.where(rarer, values - mass[np.where(rarer, tokens - gru.END - 1, 0)], 0.0)
+            unknown = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(beyond, starts, dtype=np.int64))]), pa.int32()),
+                words.distinct.take(pa.array(words.codes[beyond])),
+            )
+            n_known = np.add.reduceat(known[places], starts, dtype=np.int64)
+            found = pa.record_batch(
+                [
+                    piece.column("doc_id"), piece.column("held_out"), pa.array(words.lengths, pa.int64()),
+                    pa.array(n_known), pa.array(np.add.reduceat(values, starts)), unknown,
+                ],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "unknown"],
+            )
+            held.append((found, tokens, words, np.add.reduceat(inner, starts)))
             size += len(tokens)
             if size >= SCORE_TOKENS:
                 yield from finish()
-                held, texts, size = [], [], 0
+                held, size = [], 0
         yield from finish()
 
     columns = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, unknown array<binary>"

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
@@ -246,6 +247,18 @@ def test_every_token_trains_once_after_the_word_before_it(monkeypatch):
     assert (goes_on[real] == 0).tolist() == begins.tolist()
 
 
+def test_words_of_batches_are_those_of_plain_splits(monkeypatch):
+    texts = [b"", b"  ", b" A b\x0b\x0cA\x1cb \xc3\x84Z ", b"a\tB\nb\r", "\u00a0 \u2003x".encode(), b"c " * 40]
+    monkeypatch.setattr(lm, "BATCH_BYTES", 16)
+    batch = pa.record_batch([pa.array([b"cut off", *texts], pa.binary())], names=["raw"]).slice(1)
+    found = []
+    for piece in lm.pieces(iter([batch, batch.slice(0, 0)])):
+        words = lm.Words.of(piece.column("raw"))
+        names = [*words.distinct.to_pylist(), lm.END_WORD]
+        found += [[names[c] for c in codes] for codes in np.split(words.codes, words.starts[1:])]
+    assert found == [[*text.lower().split(), lm.END_WORD] for text in texts]
+
+
 def test_every_document_trains_in_one_round():
     texts = [b"text %d" % i for i in range(100)]
     rounds = [[zlib.crc32(raw) % lm.ROUNDS == r for r in range(lm.ROUNDS)] for raw in texts]
