@@ -66,15 +66,31 @@ def class_of(tokens: np.ndarray) -> np.ndarray:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """In place of ``x``."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
+
+
+def _outputs(states: np.ndarray, slopes: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    x = states @ slopes
+    x += bias
+    return x
 
 
 def _step(weights: Weights, given: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-    own = state @ weights["state"] + weights["state_bias"]
+    own = _outputs(state, weights["state"], weights["state_bias"])
     gates = _sigmoid(given[:, : 2 * HIDDEN] + own[:, : 2 * HIDDEN])
     reset, keep = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    fresh = np.tanh(given[:, 2 * HIDDEN :] + reset * own[:, 2 * HIDDEN :])
-    return fresh + keep * (state - fresh), reset, keep, fresh, own[:, 2 * HIDDEN :]
+    fresh = reset * own[:, 2 * HIDDEN :]
+    fresh += given[:, 2 * HIDDEN :]
+    np.tanh(fresh, out=fresh)
+    new = state - fresh
+    new *= keep
+    new += fresh
+    return new, reset, keep, fresh, own[:, 2 * HIDDEN :]
 
 
 def keep_memory() -> None:
@@ -100,7 +116,8 @@ def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     can span; a row beyond that is taken by its own maximum.
     """
     top = x.max()
-    sums = np.exp(x - top, out=np.empty_like(x))
+    sums = x - top
+    np.exp(sums, out=sums)
     total = sums @ np.ones(x.shape[1], dtype=x.dtype)
     if total.size and total.min() < 1e-30:
         sums = np.exp(x - x.max(axis=1, keepdims=True))
@@ -145,11 +162,11 @@ def token_logs(weights: Weights, states: np.ndarray, tokens: np.ndarray) -> np.n
     classes = class_of(tokens)
     order, cuts = _by_class(classes)
     states, tokens, classes = states[order], tokens[order], classes[order]
-    logs = _chosen_logs(states @ weights["classes"] + weights["class_bias"], classes)
+    logs = _chosen_logs(_outputs(states, weights["classes"], weights["class_bias"]), classes)
     for c in range(CLASSES):
         rows = slice(cuts[c], cuts[c + 1])
         if cuts[c + 1] > cuts[c]:
-            inner = states[rows] @ weights["words"][c] + weights["word_bias"][c]
+            inner = _outputs(states[rows], weights["words"][c], weights["word_bias"][c])
             logs[rows] += _chosen_logs(inner, tokens[rows] - c * CLASS_WORDS)
     unsorted = np.empty_like(logs)
     unsorted[order] = logs
@@ -295,7 +312,7 @@ class Trainer:
         # in the order of classes, so that the tokens of a class are one slice
         states, tokens, classes = states[order], tokens[order], classes[order]
         weight = real[order][:, None].astype(np.float32) / max(1, int(real.sum()))
-        miss = _softmax(states @ w["classes"] + w["class_bias"])
+        miss = _softmax(_outputs(states, w["classes"], w["class_bias"]))
         miss[np.arange(len(tokens)), classes] -= 1
         miss *= weight
         back = miss @ w["classes"].T
@@ -306,7 +323,7 @@ class Trainer:
             some = states[rows]
             if not len(some):
                 continue
-            inner = _softmax(some @ w["words"][c] + w["word_bias"][c])
+            inner = _softmax(_outputs(some, w["words"][c], w["word_bias"][c]))
             inner[np.arange(len(some)), tokens[rows] - c * CLASS_WORDS] -= 1
             inner *= weight[rows]
             back[rows] += inner @ w["words"][c].T

@@ -9,7 +9,6 @@ network on their own documents, the copies are averaged in a tree.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,7 @@ from tablegate.llm.words import BATCH_BYTES, fold, in_batches, rows_within, text
 
 FOLDS, HELD_OUT = 7, 2
 KNOWN_WORDS = 100_000  # most frequent words that tasks hold with their counts; rarer ones are joined
-FLUSH_WORDS = 400_000
+COUNT_PIECE = 4  # texts whose words are counted before the shuffle, in BATCH_BYTES
 ROUNDS = 2  # every training document trains whole in one of them, by the hash of its text
 TRAIN_TOKENS = 1 << 19  # tokens that one call of the trainer cuts into lanes
 MERGE = 32  # copies of the network that are averaged at once
@@ -67,11 +66,11 @@ class Words:
         return np.cumsum(self.lengths) - self.lengths
 
 
-def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rows in order, cut where the texts (``raw``) pass about ``BATCH_BYTES``."""
+def pieces(batches: Iterator[pa.RecordBatch], times: int = 1) -> Iterator[pa.RecordBatch]:
+    """All rows in order, cut where the texts (``raw``) pass about so many times ``BATCH_BYTES``."""
     for batch in batches:
         sizes = np.asarray(pc.binary_length(batch.column("raw"))).astype(np.int64)
-        part = (np.cumsum(sizes) - sizes) // BATCH_BYTES
+        part = (np.cumsum(sizes) - sizes) // (times * BATCH_BYTES)
         cuts = np.flatnonzero(np.diff(part)) + 1
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)], strict=True):
             if high > low:
@@ -83,16 +82,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        for piece in pieces(batches):
+        for piece in pieces(batches, COUNT_PIECE):
             words = Words.of(piece.column("raw"))
-            times = np.bincount(words.codes, minlength=len(words.distinct) + 1).tolist()
-            for word, n in zip([*words.distinct.to_pylist(), END_WORD], times, strict=True):
-                counts[word] += n
-            if len(counts) > FLUSH_WORDS:
-                yield from in_batches(iter(counts.items()), schema, 65_536)
-                counts.clear()
-        yield from in_batches(iter(counts.items()), schema, 65_536)
+            counts = np.bincount(words.codes, minlength=len(words.distinct) + 1)
+            with_end = pa.concat_arrays([words.distinct, pa.array([END_WORD], pa.binary())])
+            yield pa.record_batch([with_end, pa.array(counts, pa.int64())], schema=schema)
 
     return docs.select("raw").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
