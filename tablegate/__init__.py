@@ -35,6 +35,7 @@ from tablegate.plans.jobs import (
     tail_parse_only,
 )
 from tablegate.session import tune_session
+from tablegate.sinks.bounded import bounded_by_bytes, row_bytes
 from tablegate.sinks.checks import OutputCheckError, check_output
 from tablegate.sinks.tables import Output, new_rows, write_outputs, write_profiles, write_table
 from tablegate.sinks.text import append_statistics, write_delimited, write_lines
@@ -53,13 +54,13 @@ from tablegate.spec import (
 __all__ = [
     "ID_ID_SIM", "ID_ID_WEIGHT", "TAB_SEPARATED", "DelimitedFormat", "FormatGroup", "FormatRule",
     "Output", "OutputCheckError", "Progress", "ReadSpec", "TableSchema", "UnknownFormatError",
-    "WriteSpec", "append_statistics", "as_rows", "assert_supported_types", "can_widen",
+    "WriteSpec", "append_statistics", "as_rows", "assert_supported_types", "bounded_by_bytes", "can_widen",
     "check_output", "convert_size", "data_columns", "drain_watched", "file_stats",
     "first_long_long_double", "format_lines", "get_map", "input_benchmark", "kind_of", "limit_rows",
     "list_files", "list_partitions", "malformed_rows", "map_only_write", "new_rows",
     "null_sentinels", "observe_rows", "observe_success", "output_job", "partition_listing",
     "partition_stats", "qualified_name", "read_by_format", "read_metrics", "read_mixed_formats",
-    "read_profiles", "read_table", "require_type", "rows_from_positions", "selection_stats",
+    "read_profiles", "read_table", "require_type", "row_bytes", "rows_from_positions", "selection_stats",
     "set_exact", "skipped_files", "split_malformed", "stored_selection_stats", "stored_stats",
     "sweep", "table_schema", "tail", "tail_parse_only", "tune_session", "upgrade_to",
     "write_delimited", "write_lines", "write_outputs", "write_profiles", "write_table",

@@ -278,6 +278,23 @@ def bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT doc_id, octet_length(encode(text)) AS text_bytes, true AS within_bound
+       FROM documents"""
+)
+def byte_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of whole texts, a word or a book long, none of them larger than a megabyte."""
+    most = 1 << 20
+    table = create_table(spark, "texts_in_pieces", "doc_id bigint, text string")
+    docs = given(spark, sf_dir, "documents", "doc_id", "text")
+    write_table(docs, WriteSpec(table, max_bytes_per_file=most))
+    return spark.table(table).select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("text_bytes"),
+        (F.col("_metadata.file_size") <= most).alias("within_bound"),
+    )
+
+
 @query(
     """SELECT 'vertex' AS profile, c_custkey AS id FROM customer
        UNION ALL SELECT 'edge', o_orderkey FROM orders"""

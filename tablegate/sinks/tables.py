@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tablegate.functions.widening import upgrade_to
 from tablegate.operators.catalog import keep_row_count
 from tablegate.operators.observe import observe_rows
+from tablegate.sinks.bounded import bounded_by_bytes
 from tablegate.sinks.checks import (
     check_output,
     claim_partition,
@@ -66,6 +67,8 @@ def _insert(
     """Write rows of the target's schema to a target that was checked; a claimed partition has none before."""
     if spec.num_files is not None:
         rows = rows.repartition(spec.num_files)
+    if spec.max_bytes_per_file is not None:
+        rows = bounded_by_bytes(rows, spec.max_bytes_per_file)
     if observation is not None:
         rows = observe_rows(rows, observation)
     written = Observation()

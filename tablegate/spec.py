@@ -113,6 +113,8 @@ class WriteSpec:
     ``replace_partition`` swaps out an existing partition at commit.
     ``num_files`` is the number of parallel writers (each writes its own
     file); ``max_records_per_file`` starts a new file after that many rows.
+    ``max_bytes_per_file`` bounds the bytes of the rows in a file, before
+    encoding, whatever their widths (see ``bounded_by_bytes``).
     """
 
     table: str
@@ -120,6 +122,9 @@ class WriteSpec:
     replace_partition: bool = False
     num_files: int | None = None
     max_records_per_file: int | None = None
+    max_bytes_per_file: int | None = None
 
     def __post_init__(self) -> None:
+        if self.max_bytes_per_file is not None and self.num_files is not None:
+            raise ValueError("give at most one of num_files and max_bytes_per_file")
         object.__setattr__(self, "table", qualified_name(self.table))
