@@ -32,23 +32,33 @@ _CHUNK = 1 << 16
 _ALL = (1 << 64) - 1
 
 
-def fingerprint(raw: bytes, width: int = SHINGLE) -> int:
-    """SimHash of a whole text: a bit is 1 if set in over half of the shingles' hashes."""
+def hashed_shingles(raw: bytes, width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """XXH64 of a whole text's shingles in order, repeats included, in pieces; nothing for a text without words."""
     words = lower_ascii(raw).split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = list(accumulate(len(word) + 1 for word in words))
     width = min(width, len(words))
     starts = [0, *ends[: len(words) - width]]
-    total = len(starts)
-    counts = np.zeros(64, dtype=np.int64)
-    for low in range(0, total, _CHUNK):
-        high = min(low + _CHUNK, total)
+    for low in range(0, len(starts), _CHUNK):
+        high = min(low + _CHUNK, len(starts))
         spans = zip(starts[low:high], ends[low + width - 1 : high + width - 1], strict=True)
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a : b - 1], SEED) for a, b in spans], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int32)
+        yield np.array([xxhash.xxh64_intdigest(joined[a : b - 1], SEED) for a, b in spans], dtype="<u8")
+
+
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes set each of the 64 bits."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int32)
+
+
+def fingerprint(raw: bytes, width: int = SHINGLE) -> int:
+    """SimHash of a whole text: a bit is 1 if set in over half of the shingles' hashes."""
+    counts, total = np.zeros(64, dtype=np.int64), 0
+    for hashes in hashed_shingles(raw, width):
+        counts += set_bits(hashes)
+        total += len(hashes)
     return sum(1 << i for i in np.flatnonzero(2 * counts > total).tolist())
 
 
@@ -58,13 +68,13 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signed = ((i, _signed(fingerprint(raw))) for i, raw in rows_within(batches))
-        yield from in_batches(signed, schema)
+        prints = ((i, signed(fingerprint(raw))) for i, raw in rows_within(batches))
+        yield from in_batches(prints, schema)
 
     return frame.mapInArrow(run, "doc_id long, fp long")
 
 
-def _signed(value: int) -> int:
+def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
@@ -163,7 +173,7 @@ def _blocks(free: int, most: int = MOST_DIFFERENT) -> list[int]:
 
 def _route(frame: DataFrame, fixed: Column, masks: list[tuple[int, int]]) -> DataFrame:
     """A copy of each row per mask, keyed by ``fixed`` and the masked bits; equal hashes only merge groups."""
-    choices = F.array(*(F.struct(F.lit(i).alias("mask"), F.lit(_signed(m)).alias("bits")) for i, m in masks))
+    choices = F.array(*(F.struct(F.lit(i).alias("mask"), F.lit(signed(m)).alias("bits")) for i, m in masks))
     copies = frame.withColumn("choice", F.explode(choices))
     key = F.xxhash64(fixed, F.col("choice.mask"), F.col("fp").bitwiseAND(F.col("choice.bits")))
     return copies.select("fp", key.alias("key"), F.col("choice.mask").alias("mask"))
@@ -243,8 +253,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("fp", "n", "component_id"))
+    least = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("size")))
+    large = least.where(F.col("size") > HOT_ROWS).select("root", "component_id")
+    joined = rooted.join(least.where(F.col("size") <= HOT_ROWS).select("root", "component_id"), "root")
+    if large.head(1):
+        # a component with a third of all fingerprints does not meet in one task
+        joined = joined.unionByName(join_small(rooted, large, "root").select(*joined.columns))
+    named = stored(joined.select("fp", "n", "component_id"))
     hot = named.where(F.col("n") > HOT_ROWS).select("fp", "component_id")
     marked = prints.join(named.where(F.col("n") <= HOT_ROWS).select("fp", "component_id"), "fp")
     if hot.head(1):
@@ -253,20 +268,3 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
 
-
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the one of the smallest id.
-
-    Of rows repeated under that id one stays. Rows without an id cannot be
-    named by a component and all stay. Columns are those of ``docs``.
-    """
-    ids = near_duplicates(docs, id_column, text_column).where("doc_id = component_id")
-    kept = stored(ids.groupBy(F.col("doc_id").alias("__kept")).agg(F.count("*").alias("__times")))
-    columns = docs.columns
-    # the ids grow with the documents: shuffled at every size, never broadcast
-    rows = docs.join(kept.hint("merge"), F.col(id_column) == F.col("__kept"))
-    result = rows.where("__times = 1").select(*(f"`{c}`" for c in columns))
-    if kept.where("__times > 1").head(1):
-        repeated = rows.where("__times > 1").dropDuplicates(["__kept"])
-        result = result.unionByName(repeated.select(*(f"`{c}`" for c in columns)))
-    return result.unionByName(docs.where(F.col(id_column).isNull()))

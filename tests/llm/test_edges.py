@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tablegate.llm import lm, mixing, packing, pii, quality, rules, simhash
+from tablegate.llm import lm, mixing, neartexts, packing, pii, quality, rules, simhash
 from tablegate.llm.queries import TOKENIZER
 
 OPERATORS = {
@@ -46,7 +46,7 @@ def test_near_copies_and_empty_texts(odd):
     rows = {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(odd).collect()}
     assert {(i, c) for i, _, c in rows if i in (1, 2)} == {(1, 1), (2, 1)}
     assert {(i, f, c) for i, f, c in rows if i in (3, 4)} == {(3, "0" * 16, 3), (4, "0" * 16, 3)}
-    kept = [r["doc_id"] for r in simhash.keep_one(odd).collect()]
+    kept = [r["doc_id"] for r in neartexts.keep_one(odd).collect()]
     assert sorted(kept, key=str) == [1, 3, 5, 6, None]
 
 
