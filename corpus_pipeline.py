@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.llm import mixing, packing, pii, quality, simhash
+from tablegate.llm import mixing, neartexts, packing, pii, quality
 from tablegate.llm.queries import TOKENIZER
 from tablegate.llm.storage import stored
 from tablegate.plans.registry import given
@@ -36,13 +36,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by the limits of op5: four-word shingles, at most 4 of 64 bits.
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more.
 
-    Most copies that share less than about 0.95 of their five-word shingles
-    differ in more bits and stay. Links are not checked against the texts, and
-    a chain of them counts as one group.
+    Fingerprints are searched by the Gray-order index in groups that min-hashes
+    choose; every link is then compared by its whole shingle sets. A chain of
+    links counts as one group.
     """
-    return simhash.keep_one(docs)
+    return neartexts.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
