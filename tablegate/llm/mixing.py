@@ -76,18 +76,19 @@ def mix_sources(
     """Each document with ``mix`` (or another name): its size, source_size, target, rate and copies.
 
     Two scans of the documents: one adds up sizes per source, one decides.
-    A null text has size 0, null is a source of its own, a null id is drawn
-    like any other, rows repeated under one id get the same number of copies,
-    and an empty table gives no rows. A column of that name is replaced.
-    The draw depends on id and seed, so reruns agree.
+    A null text has size 0, null is a source of its own, rows without an id
+    are drawn by their texts, rows repeated under one id get the same number
+    of copies, and an empty table gives no rows. A column of that name is
+    replaced. The draw depends on id (or text) and seed, so reruns agree.
     """
     sizes = docs.select(F.col(source_column).alias("source"), word_count(F.col(text_column)).alias("size"))
     rates = source_targets(sizes, weights, most)
     table = rates.select(F.col("source").alias("__source"), F.struct("source_size", "target", "rate").alias("__rate"))
     keyed = docs.drop(name).withColumn("__source", F.col(source_column))
-    joined = join_small(keyed, table, "__source")
+    joined = join_small(keyed, table, "__source", [F.col(id_column), F.col(text_column)])
     rate = F.col("__rate.rate")
-    draw = uniform(F.col(id_column), seed) < rate - F.floor(rate)
+    by_text = F.concat(F.lit("text "), F.sha2(F.col(text_column).cast("binary"), 256))
+    draw = uniform(F.coalesce(F.col(id_column).cast("string"), by_text), seed) < rate - F.floor(rate)
     mix = F.struct(
         word_count(F.col(text_column)).alias("size"),
         F.col("__rate.source_size").alias("source_size"),

@@ -258,12 +258,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     joined = rooted.join(least.where(F.col("size") <= HOT_ROWS).select("root", "component_id"), "root")
     if large.head(1):
         # a component with a third of all fingerprints does not meet in one task
-        joined = joined.unionByName(join_small(rooted, large, "root").select(*joined.columns))
+        joined = joined.unionByName(join_small(rooted, large, "root", [F.col("fp")]).select(*joined.columns))
     named = stored(joined.select("fp", "n", "component_id"))
     hot = named.where(F.col("n") > HOT_ROWS).select("fp", "component_id")
     marked = prints.join(named.where(F.col("n") <= HOT_ROWS).select("fp", "component_id"), "fp")
     if hot.head(1):
-        apart = join_small(prints, hot, "fp")
+        apart = join_small(prints, hot, "fp", [F.col("doc_id")])
         marked = marked.unionByName(apart.select(*marked.columns))
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.select("doc_id", hexadecimal.alias("fingerprint"), "component_id")
