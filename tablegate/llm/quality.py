@@ -59,8 +59,8 @@ def _chunks(texts: Iterator[bytes]) -> Iterator[np.ndarray]:
     for raw in texts:
         buckets = word_buckets(raw)
         for low in range(0, len(buckets), CHUNK):
-            # pieces of a long text keep their neighbours at the cut
-            part = buckets[max(low - 1, 0) : low + CHUNK + 1] if len(buckets) > CHUNK else buckets
+            # pieces of a long text share the word at the cut: each has the neighbour on its side
+            part = buckets[low : low + CHUNK + 1]
             held += [part, edge]
             size += len(part) + 1
             if size >= CHUNK:
@@ -97,7 +97,7 @@ def context_sums(docs: DataFrame, text_column: str) -> np.ndarray:
 
 
 def word_vectors(sums: np.ndarray) -> np.ndarray:
-    """Context sums centred by the share of all that each bucket has, at length one; unseen buckets are zero."""
+    """Context sums at length one; unseen buckets are zero."""
     lengths = np.linalg.norm(sums, axis=1, keepdims=True)
     return np.where(lengths > 0, sums / np.maximum(lengths, 1e-9), 0).astype(np.float32)
 

@@ -180,17 +180,20 @@ def certified_cutoffs(counts: DataFrame, labels: DataFrame, alpha: float = ALPHA
     Reads all labelled documents that pass the base rules. What reaches the
     driver is one count per stratum, half, label and combination of levels:
     bounded by the grids, whatever the input. An id that is labelled good and
-    bad counts as good, one labelled twice counts once.
+    bad counts as good, one labelled twice counts once. Rows repeated under
+    one id are one draw of their stratum, as bad as the worst of them.
     """
     marked = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.max("quality").cast("int").alias("quality"))
     )
-    known = counts.where(~base_failed()).join(marked, "doc_id")
+    labelled = counts.where(~base_failed()).join(marked, "doc_id")
     levels = [level(measure, GRIDS[rule]).alias(rule) for rule, measure in measures().items()]
     chooses = (fold(F.col("doc_id"), CHOOSE_EVERY) == 0).alias("chooses")
-    grouped = known.select("stratum", "quality", chooses, *levels).groupBy("stratum", "quality", "chooses", *GRIDS)
+    draws = labelled.select("doc_id", "stratum", "quality", *levels).groupBy("doc_id", "stratum", "quality")
+    known = draws.agg(*(F.max(rule).alias(rule) for rule in GRIDS))
+    grouped = known.select("stratum", "quality", chooses, *GRIDS).groupBy("stratum", "quality", "chooses", *GRIDS)
     choosing: dict[int, Counter[Levels]] = {0: Counter(), 1: Counter()}
     certifying: dict[int, Counter[Levels]] = {}
     for row in grouped.agg(F.count("*").alias("n")).collect():
